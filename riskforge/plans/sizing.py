@@ -1,0 +1,28 @@
+"""Size checks that guard every explicit broadcast.
+
+A broadcast hint is only placed on a side whose row count has been proven
+to be under a bound. Everything else is left to the planner: AQE converts a
+sort-merge join into a broadcast join at runtime from the *measured* shuffle
+size (``spark.sql.adaptive.autoBroadcastJoinThreshold``), and splits skewed
+partitions of the large side.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension proven to be at most this many rows is broadcast.
+DEFAULT_MAX_BROADCAST_ROWS = 100_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows. Reads at most
+    ``max_rows + 1`` rows, so the check is cheap even on a huge input."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only if its size is proven small; otherwise return
+    it unchanged and let AQE choose the join."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
