@@ -57,4 +57,24 @@ def registry() -> dict[str, str]:
         "ccar_stress_test": with_ctes(final("ccar", CCAR_D, CCAR_I), ("ccar",)),
         "ccar_stress_test_low_buffer": with_ctes(final("ccar_low", CCAR_D, CCAR_I), ("ccar_low",)),
         "liquidity_coverage": with_ctes(final("liquidity", LIQ_D), ("liquidity",)),
+        "report_capital_summary": with_ctes(final("r_capital_summary", (
+            "cet1_ratio_pct", "tier1_ratio_pct", "total_capital_ratio_pct", "cet1_headroom_pct",
+            "capital_surplus_billions")), ("r_capital_summary",)),
+        "report_rwa_by_class": with_ctes(final("r_rwa_by_class", (
+            "total_ead_billions", "total_rwa_billions", "avg_risk_weight_pct", "expected_loss_millions",
+            "avg_pd_pct", "default_rate_pct")), ("r_rwa_by_class",)),
+        "report_scenarios": with_ctes(final("r_scenarios", (
+            "baseline_ead_billions", "stressed_ead_billions", "expected_loss_billions",
+            "capital_impact_billions", "avg_loss_rate_pct", "avg_ead_growth_pct"), ("scenario_year",)),
+            ("r_scenarios",)),
+        "report_sector_concentration": with_ctes(final("r_sector", (
+            "ead_billions", "ead_pct_of_total", "rwa_billions", "avg_pd_pct", "avg_el_ratio_pct")),
+            ("r_sector",)),
+        "report_capital_trend": with_ctes(final("r_capital_trend", (
+            "cet1_ratio", "qoq_change", "lcr", "nsfr")), ("r_capital_trend",)),
+        "report_watch_list": with_ctes(final("r_watch_list", (
+            "ead_millions", "pd_pct", "lgd_pct", "expected_loss_millions", "ltv_ratio")), ("r_watch_list",)),
+        "report_liquidity": with_ctes(final("r_liquidity", (
+            "lcr", "nsfr", "lcr_headroom", "nsfr_headroom")), ("r_liquidity",)),
+        "report_row_counts": with_ctes(final("r_row_counts", (), ("row_count",)), ("r_row_counts",)),
     }

@@ -73,6 +73,13 @@ class Build:
     def basel3_rwa_report(self) -> DataFrame:
         return marts.basel3_rwa_report(self.credit_risk_enriched, audit=self.audit)
 
+    @cached_property
+    def basel3_rwa_report_by_sector(self) -> DataFrame:
+        """The RWA report with ``sector`` added to the segment keys (the
+        sector concentration report groups by it)."""
+        keys = marts.RWA_SEGMENT_KEYS + ("sector",)
+        return marts.basel3_rwa_report(self.credit_risk_enriched, keys=keys, audit=self.audit)
+
     @cached_property
     def capital_adequacy(self) -> DataFrame:
         return marts.capital_adequacy(self.stg_capital_components, self.thresholds, self.audit)

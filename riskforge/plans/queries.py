@@ -13,6 +13,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 
 from riskforge.config import DEFAULT_STRESS
+from riskforge.operators import reports
 from riskforge.plans.build import Build
 from riskforge.plans.compare import comparable
 
@@ -51,5 +52,18 @@ def registry() -> dict[str, QueryFn]:
         "ccar_stress_test": _model("ccar_stress_test"),
         "ccar_stress_test_low_buffer": _model("ccar_stress_test", stress=LOW_BUFFER),
         "liquidity_coverage": _model("liquidity_coverage"),
+        # analyst reports
+        "report_capital_summary": _build_fn(lambda b: reports.capital_summary(b.capital_adequacy)),
+        "report_rwa_by_class": _build_fn(lambda b: reports.rwa_by_class(b.basel3_rwa_report)),
+        "report_scenarios": _build_fn(lambda b: reports.scenario_comparison(b.ccar_stress_test)),
+        "report_sector_concentration": _build_fn(
+            lambda b: reports.sector_concentration(b.basel3_rwa_report_by_sector)
+        ),
+        "report_capital_trend": _build_fn(lambda b: reports.capital_trend(b.capital_adequacy)),
+        "report_watch_list": _build_fn(
+            lambda b: reports.watch_list(b.credit_risk_enriched, b.stg_counterparties)
+        ),
+        "report_liquidity": _build_fn(lambda b: reports.liquidity_summary(b.liquidity_coverage)),
+        "report_row_counts": _build_fn(lambda b: reports.row_counts(b.models())),
     }
     return q
