@@ -43,7 +43,9 @@ CCAR_I = ("scenario_year", "loan_count", "severity_rank", "scenario_order")
 
 
 def registry() -> dict[str, str]:
-    return {
+    from oracle.quality_sql import registry as quality_registry
+
+    return quality_registry() | {
         "stg_loan_portfolio": with_ctes(final("stg_loans", LOAN_D), ("stg_loans",)),
         "stg_counterparties": with_ctes(final("stg_cpty", CPTY_D), ("stg_cpty",)),
         "stg_rwa_components": with_ctes(final("stg_rwa", RWA_D), ("stg_rwa",)),

@@ -94,6 +94,12 @@ class Build:
     def liquidity_coverage(self) -> DataFrame:
         return marts.liquidity_coverage(self.stg_capital_components, self.thresholds, self.audit)
 
+    def schema_test_tables(self) -> dict[str, DataFrame]:
+        """Sources and models by the names the schema tests use."""
+        tables = dict(self.raw)
+        tables.update({name: df for _, name, df in self.models()})
+        return tables
+
     # layer, model name -> DataFrame, in build order
     def models(self) -> list[tuple[str, str, DataFrame]]:
         return [

@@ -13,7 +13,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 
 from riskforge.config import DEFAULT_STRESS
-from riskforge.operators import reports
+from riskforge.operators import quality, reports
 from riskforge.plans.build import Build
 from riskforge.plans.compare import comparable
 
@@ -65,5 +65,12 @@ def registry() -> dict[str, QueryFn]:
         ),
         "report_liquidity": _build_fn(lambda b: reports.liquidity_summary(b.liquidity_coverage)),
         "report_row_counts": _build_fn(lambda b: reports.row_counts(b.models())),
+        # data-quality gate
+        "dq_summary": _build_fn(lambda b: quality.summarize(quality.run_suites(b.raw))),
+        "schema_tests": _build_fn(lambda b: quality.run_schema_tests(b.schema_test_tables())),
     }
+    for suite, checks in quality.SUITES.items():
+        q[f"dq_{suite}"] = _build_fn(
+            lambda b, s=suite, c=checks: quality.run_suite(s, b.raw[s], c)
+        )
     return q
