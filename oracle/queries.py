@@ -79,4 +79,15 @@ def registry() -> dict[str, str]:
         "report_liquidity": with_ctes(final("r_liquidity", (
             "lcr", "nsfr", "lcr_headroom", "nsfr_headroom")), ("r_liquidity",)),
         "report_row_counts": with_ctes(final("r_row_counts", (), ("row_count",)), ("r_row_counts",)),
+        "rwa_standardized": with_ctes(final("f_rwa_std", RWA_D), ("f_rwa_std",)),
+        "capital_ratios": with_ctes(final("f_capital_ratios", (
+            "total_capital_calc", "cet1_ratio_calc", "tier1_ratio_calc", "total_capital_ratio_calc")),
+            ("f_capital_ratios",)),
+        "stress_shock": with_ctes(final("f_stress_shock", STRESS_D, ("scenario_year",)), ("f_stress_shock",)),
+        "segment_drill_through": with_ctes(final("f_drill", ENR_D), ("f_drill",)),
+        "expected_loss_by_rating": with_ctes(final("f_el_by_rating", (
+            "total_ead", "total_expected_loss", "el_rate_pct"), ("loans",)), ("f_el_by_rating",)),
+        "capital_requirement_by_class": with_ctes(final("f_capreq_by_class", (
+            "total_rwa", "sum_loan_requirements", "requirement_at_0_08", "requirement_at_0_105"),
+            ("exposures",)), ("f_capreq_by_class",)),
     }

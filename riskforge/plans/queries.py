@@ -13,7 +13,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 
 from riskforge.config import DEFAULT_STRESS
-from riskforge.operators import quality, reports
+from riskforge.operators import formulas, quality, reports
 from riskforge.plans.build import Build
 from riskforge.plans.compare import comparable
 
@@ -69,6 +69,21 @@ def registry() -> dict[str, QueryFn]:
         "dq_summary": _build_fn(lambda b: quality.summarize(quality.run_suites(b.raw))),
         "schema_tests": _build_fn(lambda b: quality.run_schema_tests(b.schema_test_tables())),
     }
+    q.update({
+        # business formulas and macros
+        "rwa_standardized": _build_fn(lambda b: formulas.rwa_standardized(b.stg_loan_portfolio)),
+        "capital_ratios": _build_fn(lambda b: formulas.capital_ratios(b.stg_capital_components)),
+        "stress_shock": _build_fn(lambda b: formulas.stress_shock(b.stg_loan_portfolio)),
+        "segment_drill_through": _build_fn(
+            lambda b: formulas.drill_through(
+                b.credit_risk_enriched, b.basel3_rwa_report.filter("high_risk_segment")
+            )
+        ),
+        "expected_loss_by_rating": _build_fn(lambda b: formulas.expected_loss_by_rating(b.stg_loan_portfolio)),
+        "capital_requirement_by_class": _build_fn(
+            lambda b: formulas.capital_requirement_by_class(b.stg_rwa_components)
+        ),
+    })
     for suite, checks in quality.SUITES.items():
         q[f"dq_{suite}"] = _build_fn(
             lambda b, s=suite, c=checks: quality.run_suite(s, b.raw[s], c)
