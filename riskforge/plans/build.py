@@ -15,6 +15,9 @@ from riskforge.config import DEFAULT_STRESS, DEFAULT_THRESHOLDS, StressConfig, T
 from riskforge.operators import marts, staging
 
 
+_GRAPHS: dict[tuple, "Build"] = {}
+
+
 class Build:
     def __init__(
         self,
@@ -30,9 +33,18 @@ class Build:
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Build":
+        """The graph over the test tables in ``sf_dir``.
+
+        Plans are immutable, so one graph per (session, directory, options)
+        is built and shared by every query that asks for it: the Python-side
+        plan construction is paid once, not per report.
+        """
         from riskforge.sources.testdata import raw_tables
 
-        return cls(raw_tables(spark, sf_dir), **kw)
+        key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items())))
+        if key not in _GRAPHS:
+            _GRAPHS[key] = cls(raw_tables(spark, sf_dir), **kw)
+        return _GRAPHS[key]
 
     @classmethod
     def from_paths(cls, spark: SparkSession, paths: dict[str, str], **kw) -> "Build":

@@ -16,10 +16,18 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 100_000
 
 
+# (application id, canonical plan hash, bound) -> proven?  A plan over the
+# same files answers the same, so each dimension is counted once per session.
+_PROVEN: dict[tuple[str, int, int], bool] = {}
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows. Reads at most
     ``max_rows + 1`` rows, so the check is cheap even on a huge input."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _PROVEN:
+        _PROVEN[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _PROVEN[key]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
