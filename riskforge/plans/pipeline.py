@@ -41,10 +41,12 @@ def run(
 
     # 1. source validation gate
     results = quality.run_suites(build.raw)
-    summary = quality.summarize(results)
-    timed("validation_report", lambda: write_validation_report(results, summary, f"{warehouse}/_validation"))
+    _, details = timed(
+        "validation_report",
+        lambda: write_validation_report(results, f"{warehouse}/_validation", quality.summarize),
+    )
     if enforce_gate:
-        quality.gate(results)
+        quality.gate(details)
 
     # 2. staging views
     for _, name, df in build.models()[:5]:
@@ -77,7 +79,7 @@ def run(
                                   "fct_liquidity_coverage"),
     )
 
-    # 4. reports over the materialized marts (small outputs: collected)
+    # 4. reports over the materialized marts, written as tables too
     report_fns = {
         "capital_summary": lambda: reports.capital_summary(out["fct_capital_adequacy"]),
         "rwa_by_class": lambda: reports.rwa_by_class(out["fct_basel3_rwa_report"]),
@@ -91,11 +93,32 @@ def run(
     }
     report_rows = {}
     for name, fn in report_fns.items():
-        report_rows[name] = timed(f"report_{name}", lambda fn=fn: len(fn().collect()))
+        written = timed(
+            f"report_{name}",
+            lambda fn=fn, name=name: materialize_table(fn(), warehouse, "reports", name, partition_by=None),
+        )
+        report_rows[name] = written.count()
+
+    # 5. schema tests on sources and the materialized models
+    tables = dict(build.raw)
+    tables.update(out)
+    tests = timed(
+        "schema_tests",
+        lambda: materialize_table(quality.run_schema_tests(tables), warehouse, "_tests", "schema_tests",
+                                  partition_by=None),
+    )
+    failed_tests = tests.filter("status = 'FAIL'").count()
+
     models = [(layer, name, out[name]) for layer, name, _ in build.models()]
-    counts = timed("report_row_counts", lambda: reports.row_counts(models).collect())
+    counts = timed(
+        "report_row_counts",
+        lambda: materialize_table(reports.row_counts(models), warehouse, "reports", "row_counts",
+                                  partition_by=None),
+    )
     return {
         "timings": timings,
         "report_rows": report_rows,
-        "row_counts": {r["table_name"]: r["row_count"] for r in counts},
+        "failed_schema_tests": failed_tests,
+        # one row per model: a bounded, 10-row read
+        "row_counts": {r["table_name"]: r["row_count"] for r in counts.collect()},
     }

@@ -15,13 +15,20 @@ from riskforge.schemas import RAW_SCHEMAS
 
 
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the schema's columns by name, typed. Missing columns are NULL."""
+    """Select the schema's columns by name, typed. Missing columns are NULL.
+
+    A column already stored as a number keeps its stored type (staging
+    casts it): re-casting, say, decimal to the declared DOUBLE would hide
+    the staging predicates from parquet filter pushdown.
+    """
     present = set(df.columns)
     cols = []
     for f in schema.fields:
         if f.name in present:
             c = F.col(f.name)
-            if df.schema[f.name].dataType != f.dataType:
+            have = df.schema[f.name].dataType
+            numeric = isinstance(have, T.NumericType) and isinstance(f.dataType, T.NumericType)
+            if have != f.dataType and not numeric:
                 c = c.try_cast(f.dataType)
         else:
             c = F.lit(None).cast(f.dataType)

@@ -46,12 +46,18 @@ def materialize_table(
     return spark.read.parquet(path)
 
 
-def write_validation_report(results: DataFrame, summary: DataFrame, base: str) -> str:
-    """JSON report: ``details`` (one object per check) and ``summary`` (one
-    per suite), stamped with the run time, under ``base/validation_<ts>``."""
+def write_validation_report(results: DataFrame, base: str, summarize=None) -> tuple[str, DataFrame]:
+    """JSON report under ``base/validation_<ts>``: ``details`` (one object per
+    check) and ``summary`` (one per suite), stamped with the run time.
+
+    The checks are evaluated once: the summary is computed from the written
+    details. Returns the report folder and the details read back.
+    """
     ts = _dt.datetime.now(_dt.timezone.utc)
     path = _join(base, f"validation_{ts.strftime('%Y%m%d_%H%M%S')}")
     stamp = F.lit(ts.isoformat()).alias("run_ts")
     results.select("*", stamp).coalesce(1).write.mode("overwrite").json(_join(path, "details"))
-    summary.select("*", stamp).coalesce(1).write.mode("overwrite").json(_join(path, "summary"))
-    return path
+    details = results.sparkSession.read.schema(results.select("*", stamp).schema).json(_join(path, "details"))
+    if summarize is not None:
+        summarize(details).select("*", stamp).coalesce(1).write.mode("overwrite").json(_join(path, "summary"))
+    return path, details
