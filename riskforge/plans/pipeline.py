@@ -15,18 +15,25 @@ from pyspark.sql import DataFrame, SparkSession
 from riskforge.config import LAYER_SCHEMAS, schema_name
 from riskforge.operators import marts, quality, reports
 from riskforge.plans.build import Build
+from riskforge.session import warehouse_path
 from riskforge.sources.sinks import materialize_table, materialize_view, write_validation_report
 
 
 def run(
     spark: SparkSession,
     build: Build,
-    warehouse: str,
+    warehouse: str | None = None,
     target_name: str = "dev",
     target_schema: str = "analytics",
     enforce_gate: bool = True,
 ) -> dict:
-    """Run the whole graph; returns per-step wall times and table locations."""
+    """Run the whole graph; returns per-step wall times and row counts.
+
+    ``warehouse`` defaults to a folder under the session's shared
+    ``spark.checkpoint.dir`` (never a machine-local folder on a cluster).
+    """
+    if warehouse is None:
+        warehouse = warehouse_path(spark)
     timings: dict[str, float] = {}
     out: dict[str, DataFrame] = {}
 

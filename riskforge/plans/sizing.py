@@ -22,11 +22,18 @@ _PROVEN: dict[tuple[str, int, int], bool] = {}
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Reads at most
-    ``max_rows + 1`` rows, so the check is cheap even on a huge input."""
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    ``take`` runs an incremental limit: it scans one partition, then a
+    growing number, and stops as soon as ``max_rows + 1`` rows are found, so
+    on a huge input only a few partitions are opened (``limit().count()``
+    would start a task per partition). Only a one-column literal row per
+    input row comes back, at most ``max_rows + 1`` of them.
+    """
     key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
     if key not in _PROVEN:
-        _PROVEN[key] = df.limit(max_rows + 1).count() <= max_rows
+        probe = df.select(F.lit(1).alias("one")).take(max_rows + 1)
+        _PROVEN[key] = len(probe) <= max_rows
     return _PROVEN[key]
 
 
