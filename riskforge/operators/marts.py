@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from riskforge.config import DEFAULT_STRESS, DEFAULT_THRESHOLDS, StressConfig, Thresholds
 from riskforge.functions.risk import (
     MONEY,
+    capital_adequacy_status,
     d,
     expected_loss,
     maturity_bucket,
@@ -51,6 +52,15 @@ RWA_SEGMENT_KEYS = (
     "approach", "currency", "region",
 )
 
+# Liquidity status labels (breach below the minimum, watch
+# within the band above it).
+LCR_BREACH = "LCR Breach — Immediate Action"
+LCR_WATCH = "LCR Watch — Monitor Daily"
+LCR_ADEQUATE = "LCR Adequate"
+NSFR_BREACH = "NSFR Breach — Immediate Action"
+NSFR_WATCH = "NSFR Watch — Monitor Weekly"
+NSFR_ADEQUATE = "NSFR Adequate"
+
 STRESS_SEGMENT_KEYS = (
     "reporting_date", "scenario_name", "scenario_year", "asset_class", "sector", "region",
 )
@@ -145,8 +155,6 @@ def _period_window() -> Window:
 def capital_adequacy(capital: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS, audit: bool = True) -> DataFrame:
     """CET1 / Tier 1 / total capital ratios against the minimums, headroom,
     quarter-on-quarter change and the adequacy band, per entity and period."""
-    from riskforge.functions.risk import capital_adequacy_status
-
     cet1, tier1, total = F.col("cet1_ratio"), F.col("tier1_ratio"), F.col("total_capital_ratio")
     lcr, nsfr = F.col("lcr"), F.col("nsfr")
     m_cet1, m_t1, m_tot = d(t.cet1_minimum_ratio), d(t.tier1_minimum_ratio), d(t.total_capital_minimum_ratio)
@@ -193,12 +201,12 @@ def liquidity_coverage(capital: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS, a
         ((lcr >= m_lcr) & (nsfr >= m_nsfr)).alias("fully_liquid_compliant"),
         F.round(lcr - m_lcr, 2).alias("lcr_headroom"),
         F.round(nsfr - m_nsfr, 2).alias("nsfr_headroom"),
-        F.when(lcr < m_lcr, F.lit("LCR Breach — Immediate Action"))
-        .when(lcr < m_lcr + d(t.lcr_watch_band), F.lit("LCR Watch — Monitor Daily"))
-        .otherwise(F.lit("LCR Adequate")).alias("lcr_status"),
-        F.when(nsfr < m_nsfr, F.lit("NSFR Breach — Immediate Action"))
-        .when(nsfr < m_nsfr + d(t.nsfr_watch_band), F.lit("NSFR Watch — Monitor Weekly"))
-        .otherwise(F.lit("NSFR Adequate")).alias("nsfr_status"),
+        F.when(lcr < m_lcr, F.lit(LCR_BREACH))
+        .when(lcr < m_lcr + d(t.lcr_watch_band), F.lit(LCR_WATCH))
+        .otherwise(F.lit(LCR_ADEQUATE)).alias("lcr_status"),
+        F.when(nsfr < m_nsfr, F.lit(NSFR_BREACH))
+        .when(nsfr < m_nsfr + d(t.nsfr_watch_band), F.lit(NSFR_WATCH))
+        .otherwise(F.lit(NSFR_ADEQUATE)).alias("nsfr_status"),
         prior.alias("prior_lcr"),
         F.round(lcr - prior, 2).alias("lcr_qoq_change"),
     ]

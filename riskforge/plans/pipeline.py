@@ -16,7 +16,12 @@ from riskforge.config import LAYER_SCHEMAS, schema_name
 from riskforge.operators import marts, quality, reports
 from riskforge.plans.build import Build
 from riskforge.session import warehouse_path
-from riskforge.sources.sinks import materialize_table, materialize_view, write_validation_report
+from riskforge.sources.sinks import (
+    materialize_table,
+    materialize_view,
+    register_table,
+    write_validation_report,
+)
 
 
 def run(
@@ -55,6 +60,11 @@ def run(
     if enforce_gate:
         quality.gate(details)
 
+    def table(df: DataFrame, layer: str, name: str) -> DataFrame:
+        written = materialize_table(df, warehouse, schema(layer), name)
+        register_table(written, warehouse, schema(layer), name)
+        return written
+
     # 2. staging views
     for _, name, df in build.models()[:5]:
         materialize_view(df, name)
@@ -63,27 +73,24 @@ def run(
     # 3. enrichment table, then marts read from it
     enriched = timed(
         "int_credit_risk_enriched",
-        lambda: materialize_table(build.credit_risk_enriched, warehouse, schema("intermediate"),
-                                  "int_credit_risk_enriched"),
+        lambda: table(build.credit_risk_enriched, "intermediate", "int_credit_risk_enriched"),
     )
     out["int_credit_risk_enriched"] = enriched
     out["fct_basel3_rwa_report"] = timed(
         "fct_basel3_rwa_report",
-        lambda: materialize_table(marts.basel3_rwa_report(enriched), warehouse, schema("credit"),
-                                  "fct_basel3_rwa_report"),
+        lambda: table(marts.basel3_rwa_report(enriched), "credit", "fct_basel3_rwa_report"),
     )
     out["fct_capital_adequacy"] = timed(
         "fct_capital_adequacy",
-        lambda: materialize_table(build.capital_adequacy, warehouse, schema("capital"), "fct_capital_adequacy"),
+        lambda: table(build.capital_adequacy, "capital", "fct_capital_adequacy"),
     )
     out["fct_ccar_stress_test"] = timed(
         "fct_ccar_stress_test",
-        lambda: materialize_table(build.ccar_stress_test, warehouse, schema("capital"), "fct_ccar_stress_test"),
+        lambda: table(build.ccar_stress_test, "capital", "fct_ccar_stress_test"),
     )
     out["fct_liquidity_coverage"] = timed(
         "fct_liquidity_coverage",
-        lambda: materialize_table(build.liquidity_coverage, warehouse, schema("liquidity"),
-                                  "fct_liquidity_coverage"),
+        lambda: table(build.liquidity_coverage, "liquidity", "fct_liquidity_coverage"),
     )
 
     # 4. reports over the materialized marts, written as tables too

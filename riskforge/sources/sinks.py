@@ -46,6 +46,24 @@ def materialize_table(
     return spark.read.parquet(path)
 
 
+def register_table(df: DataFrame, base: str, schema: str, name: str) -> str:
+    """Make a materialized table queryable as ``schema.name`` in Spark SQL.
+
+    The database is created at ``base/schema`` and the table is an external
+    parquet table over the written files, so analyst SQL written against
+    schema-qualified tables runs unchanged through ``spark.sql``. Partition
+    directories are discovered from the files.
+    """
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` LOCATION '{_join(base, schema)}'")
+    spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
+    qualified = f"`{schema}`.`{name}`"
+    spark.catalog.createTable(qualified, path=_join(base, schema, name), source="parquet")
+    if spark.sql(f"DESCRIBE TABLE EXTENDED {qualified}").filter("col_name = '# Partition Information'").count():
+        spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
+    return f"{schema}.{name}"
+
+
 def write_validation_report(results: DataFrame, base: str, summarize=None) -> tuple[str, DataFrame]:
     """JSON report under ``base/validation_<ts>``: ``details`` (one object per
     check) and ``summary`` (one per suite), stamped with the run time.
