@@ -247,15 +247,14 @@ def run_suite(name: str, df: DataFrame, checks: list[Check]) -> DataFrame:
     res = agg.select(F.explode(F.array(*rows)).alias("r")).select(F.lit(name).alias("suite"), "r.*")
     ex = _examples(df, checks)
     if ex is not None:
-        # both sides hold at most one row per check
+        # Both sides hold at most one row per check. Every in-set check has
+        # an examples row (an empty list renders as "[]"); others have none.
         res = res.join(F.broadcast(ex), "check_no", "left").select(
             "suite",
             "check_no",
             "check",
             "status",
-            F.when(F.col("examples").isNotNull() | F.col("check").startswith("in_set("),
-                   F.concat(F.col("detail"), F.coalesce(F.col("examples"), F.lit("[]"))))
-            .otherwise(F.col("detail")).alias("detail"),
+            F.coalesce(F.concat(F.col("detail"), F.col("examples")), F.col("detail")).alias("detail"),
         )
     return res
 

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reporting this package rebuilds is batch work over quarterly, monthly
+and annual snapshots: there is no event stream, watermark, event-time window
+or cross-batch state anywhere in it, so no Structured Streaming operator is
+provided. Every model is a batch DataFrame function; if snapshots ever arrive
+as a stream, the same functions apply per micro-batch via ``foreachBatch``.
+"""
