@@ -212,7 +212,9 @@ def _examples(df: DataFrame, checks: list[Check]) -> DataFrame | None:
         if ck.kind != "in_set":
             continue
         c = F.col(ck.column)
-        bad = df.filter(~F.coalesce(c.isin(*ck.args), F.lit(False))).select(c.cast("string").alias("v"))
+        # NULL or outside the set, written so parquet can take it (row groups
+        # whose dictionary holds only valid values are skipped)
+        bad = df.filter(c.isNull() | ~c.isin(*ck.args)).select(c.cast("string").alias("v"))
         top = bad.distinct().orderBy(F.col("v").asc_nulls_last()).limit(EXAMPLES)
         shown = F.when(F.col("v").isNull(), F.lit("nan")).otherwise(F.concat(F.lit("'"), F.col("v"), F.lit("'")))
         ordered = F.sort_array(F.collect_list(F.struct(F.col("v").isNull().alias("z"), F.col("v"), shown.alias("s"))))
