@@ -21,11 +21,29 @@ BASE_CONF = {
 }
 
 
+# Sizing for a large cluster (100 TB inputs, ~1000 executors), applied by
+# ``get_session(profile="cluster")`` only where spark-submit / defaults did
+# not set a value. Many initial shuffle partitions are safe because AQE
+# coalesces them to the advisory size; 256 MB splits and post-shuffle
+# partitions keep tasks in memory; a partition over 512 MB and 5x the median
+# is split by the skew-join rule.
+CLUSTER_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "riskforge",
     shuffle_partitions: int | None = None,
     extra: dict | None = None,
+    profile: str = "local",
 ) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -38,6 +56,11 @@ def get_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if profile == "cluster":
+        submitted = spark.sparkContext.getConf()
+        for k, v in CLUSTER_DEFAULTS.items():
+            if not submitted.contains(k) and k not in (extra or {}):
+                spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
 

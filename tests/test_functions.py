@@ -101,3 +101,18 @@ def test_risk_weight_default(spark):
 )
 def test_schema_name(custom, target, name, expected):
     assert schema_name(custom, target, name) == expected
+
+
+def test_cluster_profile_respects_submitted_values(spark):
+    from riskforge.session import CLUSTER_DEFAULTS, get_session
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    s = get_session(profile="cluster")
+    try:
+        assert s.conf.get("spark.sql.files.maxPartitionBytes") in ("256m", str(256 * 1024 * 1024))
+        assert s.conf.get("spark.sql.adaptive.enabled") == "true"
+        assert set(CLUSTER_DEFAULTS) >= {"spark.sql.shuffle.partitions"}
+    finally:
+        for k in CLUSTER_DEFAULTS:
+            s.conf.unset(k)
+        s.conf.set("spark.sql.shuffle.partitions", before)
