@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from riskforge.config import DEFAULT_STRESS, DEFAULT_THRESHOLDS, StressConfig, Thresholds
 from riskforge.functions.risk import (
-    MONEY,
     capital_adequacy_status,
     d,
     expected_loss,
