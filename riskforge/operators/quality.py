@@ -232,8 +232,12 @@ def _examples(df: DataFrame, checks: list[Check]) -> DataFrame | None:
     return out
 
 
-def run_suite(name: str, df: DataFrame, checks: list[Check]) -> DataFrame:
-    """Rows (suite, check_no, check, status, detail), one per check."""
+def run_suite(name: str, df: DataFrame, checks: list[Check], with_examples: bool = True) -> DataFrame:
+    """Rows (suite, check_no, check, status, detail), one per check.
+
+    ``with_examples=False`` leaves the offending-value examples out of the
+    in-set details (and their scans out of the plan) when only the statuses
+    are needed."""
     agg = df.agg(*_measures(df, checks))
     rows = []
     for i, ck in enumerate(checks):
@@ -247,7 +251,7 @@ def run_suite(name: str, df: DataFrame, checks: list[Check]) -> DataFrame:
             )
         )
     res = agg.select(F.explode(F.array(*rows)).alias("r")).select(F.lit(name).alias("suite"), "r.*")
-    ex = _examples(df, checks)
+    ex = _examples(df, checks) if with_examples else None
     if ex is not None:
         # Both sides hold at most one row per check. Every in-set check has
         # an examples row (an empty list renders as "[]"); others have none.
@@ -261,11 +265,13 @@ def run_suite(name: str, df: DataFrame, checks: list[Check]) -> DataFrame:
     return res
 
 
-def run_suites(raw: dict[str, DataFrame], suites: dict[str, list[Check]] = SUITES) -> DataFrame:
+def run_suites(
+    raw: dict[str, DataFrame], suites: dict[str, list[Check]] = SUITES, with_examples: bool = True
+) -> DataFrame:
     """All suites, unioned (suite order kept in ``suite_no``)."""
     out = None
     for k, (name, checks) in enumerate(suites.items()):
-        part = run_suite(name, raw[name], checks).withColumn("suite_no", F.lit(k + 1))
+        part = run_suite(name, raw[name], checks, with_examples).withColumn("suite_no", F.lit(k + 1))
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -69,7 +69,7 @@ def registry() -> dict[str, QueryFn]:
         "report_liquidity": _build_fn(lambda b: reports.liquidity_summary(b.liquidity_coverage)),
         "report_row_counts": _build_fn(lambda b: reports.row_counts(b.models())),
         # data-quality gate
-        "dq_summary": _build_fn(lambda b: quality.summarize(quality.run_suites(b.raw))),
+        "dq_summary": _build_fn(lambda b: quality.summarize(quality.run_suites(b.raw, with_examples=False))),
         "schema_tests": _build_fn(lambda b: quality.run_schema_tests(b.schema_test_tables())),
     }
     q.update({

@@ -18,6 +18,10 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.ansi.enabled": "true",
+    # PySpark otherwise records the Python call site of every Column
+    # operation for error context: several JVM round trips per expression,
+    # which dominates planning of the wide quality aggregates.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
