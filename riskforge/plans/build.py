@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import warnings
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,12 +35,15 @@ def load_testdata_raw(spark: SparkSession, sf_dir: str, materialize: bool = True
         if materialize:
             tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
             base = warehouse_path(spark, f"raw_layer/{app}/{tag}")
-            loaded = {}
-            for name, df in raw.items():
-                path = f"{base}/{name}"
-                df.write.mode("overwrite").parquet(path)
-                loaded[name] = spark.read.parquet(path)
-            raw = loaded
+            try:
+                loaded = {}
+                for name, df in raw.items():
+                    path = f"{base}/{name}"
+                    df.write.mode("overwrite").parquet(path)
+                    loaded[name] = spark.read.parquet(path)
+                raw = loaded
+            except Exception as exc:  # no writable shared folder: stay lazy
+                warnings.warn(f"raw layer not materialized ({exc.__class__.__name__}); using lazy tables")
         _RAW[key] = raw
     return _RAW[key]
 

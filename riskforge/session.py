@@ -17,6 +17,7 @@ BASE_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.ansi.enabled": "true",
     # PySpark otherwise records the Python call site of every Column
     # operation for error context: several JVM round trips per expression,
