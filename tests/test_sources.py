@@ -65,3 +65,9 @@ def test_csv_sources_give_the_same_marts(spark, build):
         a = sorted(map(tuple, comparable(getattr(from_csv, attr)).collect()), key=str)
         b = sorted(map(tuple, comparable(getattr(build, attr)).collect()), key=str)
         assert a == b, attr
+
+
+def test_reporting_periods_sort_as_text(build):
+    # the quarter-on-quarter lag orders periods as text: only YYYY-Qn sorts right
+    cap = build.raw["capital_components"]
+    assert cap.filter(~cap.reporting_period.rlike(r"^[0-9]{4}-Q[1-4]$")).count() == 0
