@@ -77,5 +77,20 @@ def write_validation_report(results: DataFrame, base: str, summarize=None) -> tu
     results.select("*", stamp).coalesce(1).write.mode("overwrite").json(_join(path, "details"))
     details = results.sparkSession.read.schema(results.select("*", stamp).schema).json(_join(path, "details"))
     if summarize is not None:
-        summarize(details).select("*", stamp).coalesce(1).write.mode("overwrite").json(_join(path, "summary"))
+        summary = summarize(details)
+        summary.select("*", stamp).coalesce(1).write.mode("overwrite").json(_join(path, "summary"))
+        # One document {summary: [...], details: [...], run_ts}: the lists
+        # hold one entry per suite / declared check, a fixed small bound.
+        cols = [c for c in details.columns if c != "run_ts"]
+        s_part = summary.agg(F.sort_array(F.collect_list(F.struct(*summary.columns))).alias("summary"))
+        d_part = details.agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("details"))
+        s_type, d_type = s_part.schema["summary"].dataType, d_part.schema["details"].dataType
+        both = s_part.withColumn("details", F.lit(None).cast(d_type)).unionByName(
+            d_part.withColumn("summary", F.lit(None).cast(s_type))
+        )
+        doc = both.agg(
+            F.first("summary", ignorenulls=True).alias("summary"),
+            F.first("details", ignorenulls=True).alias("details"),
+        ).select("summary", "details", stamp)
+        doc.coalesce(1).write.mode("overwrite").json(_join(path, "report"))
     return path, details
