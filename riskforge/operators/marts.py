@@ -2,8 +2,9 @@
 
 Plans, in Spark terms:
 
-* ``credit_risk_enriched``: loans left-join RWA on ``loan_id`` (one row per
-  loan on both sides) and left-join counterparties on ``counterparty_id``.
+* ``credit_risk_enriched``: loans left-join counterparties on
+  ``counterparty_id``, then left-join RWA on ``loan_id`` (one row per loan
+  on both sides). Only the attribute columns each join needs are carried.
   No broadcast hint: AQE turns a join into a broadcast join when the
   measured size of a side is under the threshold, and splits skewed
   partitions (a counterparty holding a third of all loans) on the loan side.
