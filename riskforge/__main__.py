@@ -66,10 +66,10 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.command == "run":
         from riskforge.operators.quality import ValidationFailed
-        from riskforge.plans import pipeline
+        from riskforge.plans import runner
 
         try:
-            res = pipeline.run(spark, build, args.warehouse, args.target, args.target_schema,
+            res = runner.run(spark, build, args.warehouse, args.target, args.target_schema,
                                enforce_gate=not args.no_gate)
         except ValidationFailed as e:
             print(str(e), file=sys.stderr)

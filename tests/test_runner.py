@@ -6,20 +6,20 @@ import pytest
 
 from riskforge.operators import reports
 from riskforge.operators.quality import ValidationFailed
-from riskforge.plans import pipeline
+from riskforge.plans import runner
 
 
 def test_gate_stops_the_run(spark, build):
     wh = tempfile.mkdtemp(prefix="rf-wh-")
     with pytest.raises(ValidationFailed):  # the test tables carry dirty rows on purpose
-        pipeline.run(spark, build, wh)
+        runner.run(spark, build, wh)
     assert glob.glob(os.path.join(wh, "_validation", "validation_*", "summary", "*.json"))
     assert not os.path.exists(os.path.join(wh, "analytics_intermediate"))
 
 
-def test_pipeline_materializes_everything(spark, build):
+def test_run_materializes_everything(spark, build):
     wh = tempfile.mkdtemp(prefix="rf-wh-")
-    res = pipeline.run(spark, build, wh, enforce_gate=False)
+    res = runner.run(spark, build, wh, enforce_gate=False)
     assert set(res["timings"]) >= {"int_credit_risk_enriched", "fct_basel3_rwa_report", "report_watch_list"}
     counts = res["row_counts"]
     assert counts["INT_CREDIT_RISK_ENRICHED"] == build.credit_risk_enriched.count()
@@ -28,13 +28,13 @@ def test_pipeline_materializes_everything(spark, build):
     assert glob.glob(os.path.join(wh, "_validation", "validation_*", "details", "*.json"))
     assert res["report_rows"]["watch_list"] == 100
     # rerun replaces the partition instead of appending
-    res2 = pipeline.run(spark, build, wh, enforce_gate=False)
+    res2 = runner.run(spark, build, wh, enforce_gate=False)
     assert res2["row_counts"] == counts
 
 
 def test_prod_tables_answer_analyst_sql(spark, build):
     wh = tempfile.mkdtemp(prefix="rf-wh-")
-    pipeline.run(spark, build, wh, target_name="prod", enforce_gate=False)
+    runner.run(spark, build, wh, target_name="prod", enforce_gate=False)
     assert os.path.isdir(os.path.join(wh, "liquidity", "fct_liquidity_coverage"))
     sql = """
         SELECT entity_id, reporting_period, ROUND(cet1_ratio, 2) AS cet1_ratio,
