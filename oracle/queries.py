@@ -5,8 +5,14 @@ from __future__ import annotations
 from oracle.ctes import with_ctes
 
 
-def final(src: str, doubles=(), bigints=(), drop=()) -> str:
+LOAN_DATES = ("origination_date", "maturity_date", "reporting_date")
+CPTY_DATES = ("onboarding_date", "last_review_date", "reporting_date")
+RD_ONLY = ("reporting_date",)
+
+
+def final(src: str, doubles=(), bigints=(), drop=(), dates=()) -> str:
     repl = [f"CAST({c} AS DOUBLE) AS {c}" for c in doubles] + [f"CAST({c} AS BIGINT) AS {c}" for c in bigints]
+    repl += [f"strftime({c}, '%Y-%m-%d') AS {c}" for c in dates]
     parts = ["*"]
     if drop:
         parts = [f"* EXCLUDE ({', '.join(drop)})"]
@@ -46,19 +52,19 @@ def registry() -> dict[str, str]:
     from oracle.quality_sql import registry as quality_registry
 
     return quality_registry() | {
-        "stg_loan_portfolio": with_ctes(final("stg_loans", LOAN_D), ("stg_loans",)),
-        "stg_counterparties": with_ctes(final("stg_cpty", CPTY_D), ("stg_cpty",)),
-        "stg_rwa_components": with_ctes(final("stg_rwa", RWA_D), ("stg_rwa",)),
-        "stg_capital_components": with_ctes(final("stg_capital", CAP_D), ("stg_capital",)),
-        "stg_stress_scenarios": with_ctes(final("stg_stress", STRESS_D, ("scenario_year",)), ("stg_stress",)),
-        "credit_risk_enriched": with_ctes(final("enriched", ENR_D), ("enriched",)),
+        "stg_loan_portfolio": with_ctes(final("stg_loans", LOAN_D, dates=LOAN_DATES), ("stg_loans",)),
+        "stg_counterparties": with_ctes(final("stg_cpty", CPTY_D, dates=CPTY_DATES), ("stg_cpty",)),
+        "stg_rwa_components": with_ctes(final("stg_rwa", RWA_D, dates=RD_ONLY), ("stg_rwa",)),
+        "stg_capital_components": with_ctes(final("stg_capital", CAP_D, dates=RD_ONLY), ("stg_capital",)),
+        "stg_stress_scenarios": with_ctes(final("stg_stress", STRESS_D, ("scenario_year",), dates=RD_ONLY), ("stg_stress",)),
+        "credit_risk_enriched": with_ctes(final("enriched", ENR_D, dates=LOAN_DATES), ("enriched",)),
         "basel3_rwa_report": with_ctes(
-            final("rwa_report", RWA_REP_D, ("loan_count", "defaulted_loan_count", "watch_list_count")),
+            final("rwa_report", RWA_REP_D, ("loan_count", "defaulted_loan_count", "watch_list_count"), dates=RD_ONLY),
             ("rwa_report",)),
-        "capital_adequacy": with_ctes(final("capital_adequacy", CAPADQ_D), ("capital_adequacy",)),
-        "ccar_stress_test": with_ctes(final("ccar", CCAR_D, CCAR_I), ("ccar",)),
-        "ccar_stress_test_low_buffer": with_ctes(final("ccar_low", CCAR_D, CCAR_I), ("ccar_low",)),
-        "liquidity_coverage": with_ctes(final("liquidity", LIQ_D), ("liquidity",)),
+        "capital_adequacy": with_ctes(final("capital_adequacy", CAPADQ_D, dates=RD_ONLY), ("capital_adequacy",)),
+        "ccar_stress_test": with_ctes(final("ccar", CCAR_D, CCAR_I, dates=RD_ONLY), ("ccar",)),
+        "ccar_stress_test_low_buffer": with_ctes(final("ccar_low", CCAR_D, CCAR_I, dates=RD_ONLY), ("ccar_low",)),
+        "liquidity_coverage": with_ctes(final("liquidity", LIQ_D, dates=RD_ONLY), ("liquidity",)),
         "report_capital_summary": with_ctes(final("r_capital_summary", (
             "cet1_ratio_pct", "tier1_ratio_pct", "total_capital_ratio_pct", "cet1_headroom_pct",
             "capital_surplus_billions")), ("r_capital_summary",)),
@@ -83,8 +89,8 @@ def registry() -> dict[str, str]:
         "capital_ratios": with_ctes(final("f_capital_ratios", (
             "total_capital_calc", "cet1_ratio_calc", "tier1_ratio_calc", "total_capital_ratio_calc")),
             ("f_capital_ratios",)),
-        "stress_shock": with_ctes(final("f_stress_shock", STRESS_D, ("scenario_year",)), ("f_stress_shock",)),
-        "segment_drill_through": with_ctes(final("f_drill", ENR_D), ("f_drill",)),
+        "stress_shock": with_ctes(final("f_stress_shock", STRESS_D, ("scenario_year",), dates=RD_ONLY), ("f_stress_shock",)),
+        "segment_drill_through": with_ctes(final("f_drill", ENR_D, dates=LOAN_DATES), ("f_drill",)),
         "expected_loss_by_rating": with_ctes(final("f_el_by_rating", (
             "total_ead", "total_expected_loss", "el_rate_pct"), ("loans",)), ("f_el_by_rating",)),
         "capital_requirement_by_class": with_ctes(final("f_capreq_by_class", (

@@ -10,7 +10,9 @@ AUDIT_COLUMNS = ("_loaded_at", "_model_run_at")
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Drop run-time audit stamps; decimals -> DOUBLE, integers -> BIGINT."""
+    """Drop run-time audit stamps; decimals -> DOUBLE, integers -> BIGINT,
+    dates -> ISO text (YYYY-MM-DD), so no engine-specific date conversion
+    enters a cross-engine value comparison."""
     cols = []
     for f in df.schema.fields:
         if f.name in AUDIT_COLUMNS:
@@ -20,5 +22,7 @@ def comparable(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
+        elif isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
         cols.append(c.alias(f.name))
     return df.select(*cols)
