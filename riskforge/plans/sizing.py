@@ -14,6 +14,15 @@ from pyspark.sql import functions as F
 
 # A dimension proven to be at most this many rows is broadcast.
 DEFAULT_MAX_BROADCAST_ROWS = 100_000
+# Above this planner size estimate no probe is run at all.
+MAX_ESTIMATED_BYTES = 256 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (file sizes for a scan; an
+    over-estimate after filters). Costs no job."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()  # a Scala BigInt
+    return size if isinstance(size, int) else int(size.toString())
 
 
 # (application id, canonical plan hash, bound) -> proven?  A plan over the
@@ -24,16 +33,21 @@ _PROVEN: dict[tuple[str, int, int], bool] = {}
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    ``take`` runs an incremental limit: it scans one partition, then a
-    growing number, and stops as soon as ``max_rows + 1`` rows are found, so
-    on a huge input only a few partitions are opened (``limit().count()``
-    would start a task per partition). Only a one-column literal row per
-    input row comes back, at most ``max_rows + 1`` of them.
+    A plan whose size estimate is already far above any broadcast size is
+    rejected without running anything. Otherwise ``take`` runs an
+    incremental limit: it scans one partition, then a growing number, and
+    stops as soon as ``max_rows + 1`` rows are found, so only a few
+    partitions are opened (``limit().count()`` would start a task per
+    partition). Only a one-column literal per row comes back, at most
+    ``max_rows + 1`` of them.
     """
     key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
     if key not in _PROVEN:
-        probe = df.select(F.lit(1).alias("one")).take(max_rows + 1)
-        _PROVEN[key] = len(probe) <= max_rows
+        if estimated_bytes(df) > MAX_ESTIMATED_BYTES:
+            _PROVEN[key] = False  # clearly large: no probe job at all
+        else:
+            probe = df.select(F.lit(1).alias("one")).take(max_rows + 1)
+            _PROVEN[key] = len(probe) <= max_rows
     return _PROVEN[key]
 
 
