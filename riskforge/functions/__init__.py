@@ -3,12 +3,13 @@
 from riskforge.functions.risk import (  # noqa: F401
     RATING_BUCKETS,
     RISK_WEIGHTS,
+    avg_exact,
     capital_adequacy_status,
     capital_requirement,
     d,
-    dec,
     expected_loss,
     maturity_bucket,
+    money_units,
     pd_bucket,
     ratio,
     rating_bucket,

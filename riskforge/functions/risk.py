@@ -58,10 +58,6 @@ def d(value) -> Column:
     return F.lit(Decimal(str(value)))
 
 
-def dec(c, spec: str = MONEY) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast(spec)
-
-
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
