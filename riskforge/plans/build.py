@@ -138,6 +138,16 @@ class Build:
     def liquidity_coverage(self) -> DataFrame:
         return marts.liquidity_coverage(self.stg_capital_components, self.thresholds, self.audit)
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every source and model as a temp view (``loan_portfolio``
+        ... ``fct_liquidity_coverage``), so SQL written against the model
+        names runs through ``spark.sql`` without materializing anything."""
+        names = []
+        for name, df in self.schema_test_tables().items():
+            df.createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
     def schema_test_tables(self) -> dict[str, DataFrame]:
         """Sources and models by the names the schema tests use."""
         tables = dict(self.raw)
