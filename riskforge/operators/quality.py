@@ -253,9 +253,16 @@ def run_suite(name: str, df: DataFrame, checks: list[Check], with_examples: bool
     res = agg.select(F.explode(F.array(*rows)).alias("r")).select(F.lit(name).alias("suite"), "r.*")
     ex = _examples(df, checks) if with_examples else None
     if ex is not None:
-        # Both sides hold at most one row per check. Every in-set check has
-        # an examples row (an empty list renders as "[]"); others have none.
-        res = res.join(F.broadcast(ex), "check_no", "left").select(
+        # Every in-set check has an examples row (an empty list renders as
+        # "[]"); others have none. The rows are merged by a union and a
+        # group-by on check_no over at most two rows per check (no join).
+        cols = ["suite", "check", "status", "detail"]
+        both = res.withColumn("examples", F.lit(None).cast("string")).unionByName(
+            ex.select("check_no", *[F.lit(None).cast("string").alias(c) for c in cols], "examples")
+        )
+        res = both.groupBy("check_no").agg(
+            *[F.first(c, ignorenulls=True).alias(c) for c in cols + ["examples"]]
+        ).select(
             "suite",
             "check_no",
             "check",
