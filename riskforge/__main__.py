@@ -25,7 +25,7 @@ SOURCES = ("loan_portfolio", "counterparties", "rwa_components", "capital_compon
 
 def _build(spark, args) -> Build:
     if args.testdata:
-        return Build.from_testdata(spark, args.testdata)
+        return Build.from_testdata(spark, args.testdata, reporting_date=args.reporting_date)
     paths = {}
     for t in SOURCES:
         for ext in ("csv", "parquet"):
@@ -35,7 +35,7 @@ def _build(spark, args) -> Build:
                 break
         else:
             raise SystemExit(f"missing source table {t} in {args.raw_dir}")
-    return Build.from_paths(spark, paths)
+    return Build.from_paths(spark, paths, reporting_date=args.reporting_date)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -49,6 +49,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--target", default="dev")
     ap.add_argument("--target-schema", default="analytics")
     ap.add_argument("--no-gate", action="store_true")
+    ap.add_argument("--reporting-date", help="scope the run to one reporting snapshot (YYYY-MM-DD)")
     args = ap.parse_args(argv)
 
     spark = get_session(profile="cluster")

@@ -13,6 +13,7 @@ import warnings
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskforge.config import DEFAULT_STRESS, DEFAULT_THRESHOLDS, StressConfig, Thresholds
 from riskforge.operators import marts, staging
@@ -55,11 +56,21 @@ class Build:
         thresholds: Thresholds = DEFAULT_THRESHOLDS,
         stress: StressConfig = DEFAULT_STRESS,
         audit: bool = True,
+        reporting_date=None,
     ):
+        """``reporting_date`` (a date or ISO text) scopes the run to one
+        reporting snapshot: every source is filtered on its raw
+        ``reporting_date`` before staging, so the predicate reaches the scans
+        and prunes date partitions of the raw tables. ``None`` keeps all
+        snapshots."""
+        if reporting_date is not None:
+            day = F.lit(reporting_date).cast("date")
+            raw = {name: df.filter(F.col("reporting_date") == day) for name, df in raw.items()}
         self.raw = raw
         self.thresholds = thresholds
         self.stress = stress
         self.audit = audit
+        self.reporting_date = reporting_date
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, materialize: bool = True, **kw) -> "Build":
