@@ -332,17 +332,9 @@ class SchemaTest:
 
 
 def _expr(col: str, text: str) -> Column:
-    """``<col> <text>`` for the small expression grammar used in tests."""
-    c = F.col(col)
-    t = text.strip()
-    if t.startswith("between"):
-        lo, hi = t[len("between"):].split("and")
-        return c.between(d(lo.strip()), d(hi.strip()))
-    for op in (">=", "<=", ">", "<", "="):
-        if t.startswith(op):
-            v = d(t[len(op):].strip())
-            return {">=": c >= v, "<=": c <= v, ">": c > v, "<": c < v, "=": c == v}[op]
-    raise ValueError(text)
+    """``<col> <text>`` (e.g. ``>= 0``, ``between 0 and 1``) as a Spark SQL
+    predicate."""
+    return F.expr(f"`{col}` {text}")
 
 
 def _nt(model, col, test, arg=None):
