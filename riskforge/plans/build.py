@@ -96,6 +96,15 @@ class Build:
 
         return cls({name: load(spark, name, path) for name, path in paths.items()}, **kw)
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str = "raw", **kw) -> "Build":
+        """Raw tables from the Spark catalog: ``<database>.<table>`` for each
+        of the five sources."""
+        from riskforge.sources.raw import load_table
+
+        names = ("loan_portfolio", "counterparties", "rwa_components", "capital_components", "stress_scenarios")
+        return cls({n: load_table(spark, n, f"`{database}`.`{n}`") for n in names}, **kw)
+
     # -- staging (views) ------------------------------------------------------
     @cached_property
     def stg_loan_portfolio(self) -> DataFrame:

@@ -62,3 +62,11 @@ def load(spark: SparkSession, table: str, path: str, fmt: str | None = None) ->
     if fmt == "parquet":
         return read_parquet(spark, path, table)
     raise ValueError(f"unsupported format {fmt!r}")
+
+
+def load_table(spark: SparkSession, table: str, qualified_name: str) -> DataFrame:
+    """Named source reference to a catalog table (``database.table``),
+    conformed to the raw schema by column name."""
+    if table not in RAW_SCHEMAS:
+        raise KeyError(f"unknown source table {table!r}")
+    return _conform(spark.table(qualified_name), RAW_SCHEMAS[table])
