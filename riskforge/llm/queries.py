@@ -6,19 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskforge.llm import mixing, sharding
+from riskforge.llm import decontamination, mixing, sharding
 from riskforge.llm.common import table
-from riskforge.llm.sql import MIXING, SHARDING
+from riskforge.llm.sql import DECONTAMINATION, MIXING, SHARDING
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def registry() -> dict[str, QueryFn]:
     return {
+        "op4_decontamination": lambda s, d: decontamination.digest(table(s, d, "documents"), table(s, d, "benchmark")),
         "op5_mixing": lambda s, d: mixing.digest(table(s, d, "documents")),
         "op10_sharding": lambda s, d: sharding.digest(table(s, d, "documents")),
     }
 
 
 def oracle() -> dict[str, str]:
-    return {"op5_mixing": MIXING, "op10_sharding": SHARDING}
+    return {"op4_decontamination": DECONTAMINATION, "op5_mixing": MIXING, "op10_sharding": SHARDING}

@@ -123,3 +123,34 @@ dealt AS (
 SELECT doc_id, size, total::BIGINT AS source_size, target, (size * copies)::BIGINT AS taken, coalesce(shards, '') AS shards
 FROM drawn LEFT JOIN dealt USING (doc_id)
 """
+
+DECONTAMINATION = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+),
+b AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+),
+windows AS (
+  SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(w[k + 1 : k + least(13, len(w))], ' ') AS win
+  FROM b, unnest(range(greatest(1, len(w) - 12))) r(k) WHERE len(w) > 0
+),
+lengths AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, n, k, array_to_string(w[k + 1 : k + n], ' ') AS win
+  FROM d, lengths, unnest(range(greatest(0, len(w) - n + 1))) r(k)
+),
+found AS (SELECT doc_id, p.n, k, item FROM places p JOIN windows USING (n, win)),
+hit AS (
+  SELECT doc_id, count(DISTINCT k + j) AS n_hit FROM (SELECT DISTINCT doc_id, n, k FROM found), unnest(range(n)) r(j) GROUP BY doc_id
+),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
