@@ -28,3 +28,9 @@ def spread(df: DataFrame, least: int = 1) -> DataFrame:
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def small_side(df: DataFrame, rows: int, most: int = 10_000) -> DataFrame:
+    """Broadcast a join side whose row count was found to be small; beyond that
+    leave the join to sort-merge and adaptive splitting of hot keys."""
+    return F.broadcast(df) if rows <= most else df

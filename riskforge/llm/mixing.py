@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskforge.llm.common import cut, text_or_empty
+from riskforge.llm.common import cut, small_side, text_or_empty
 from riskforge.llm.native import hash_bucket, n_buckets, running, seeded_key
 
 WEIGHTS = (5, 2, 1)
@@ -99,13 +99,14 @@ def _drawn(docs: DataFrame, seed: str, keep: tuple[str, ...]) -> tuple[DataFrame
         ["m_hash", "doc_id", "m_size", "m_row"],
         "m_size",
     )
-    targets = source_targets(
-        base.groupBy("s_key").agg(F.first("m_source").alias("source"), F.sum("m_size").alias("total"))
+    targets = cut(
+        source_targets(base.groupBy("s_key").agg(F.first("m_source").alias("source"), F.sum("m_size").alias("total")))
     )
+    sources = targets.count()
     first = F.col("before") * F.lit(2) + F.col("m_size")  # twice the middle of the first copy
     taken = cut(
         placed.drop("total")
-        .join(targets.select("s_key", "total", "target"), "s_key")
+        .join(small_side(targets.select("s_key", "total", "target"), sources), "s_key")
         .withColumn("twice", F.col("target") * F.lit(2.0))
         .withColumn(
             "copies",
@@ -117,7 +118,7 @@ def _drawn(docs: DataFrame, seed: str, keep: tuple[str, ...]) -> tuple[DataFrame
     gaps = taken.groupBy("s_key").agg(
         (F.first("target") - F.sum(F.col("m_size") * F.col("copies"))).alias("gap")
     )
-    near = taken.join(gaps, "s_key")
+    near = taken.join(small_side(gaps, sources), "s_key")
     miss = F.abs(F.abs(F.col("gap")) - F.col("m_size"))
     fits = (F.col("m_size") > 0) & F.when(F.col("gap") > 0, F.col("copies") < LIMIT).otherwise(F.col("copies") > 0)
     fix = (
@@ -129,7 +130,7 @@ def _drawn(docs: DataFrame, seed: str, keep: tuple[str, ...]) -> tuple[DataFrame
         )
     )
     out = (
-        taken.join(fix, "s_key", "left")
+        taken.join(small_side(fix, sources), "s_key", "left")
         .withColumn("copies", F.col("copies") + F.when(F.col("m_row") == F.col("f_row"), F.col("f_step")).otherwise(0))
         .drop("f_row", "f_step")
     )
