@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import riskforge
 from riskforge.session import ensure_checkpoint_dir
 
 
@@ -19,9 +24,31 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the application, once."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(riskforge.__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="riskforge-code-"), "riskforge_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(top, "riskforge")):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, top))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
+
+
 def spread(df: DataFrame, least: int = 1) -> DataFrame:
-    """Deal rows over at least as many tasks as the session shuffles to, when
-    the input has fewer splits than that (a few large files)."""
+    """Rows for Python functions: the package is sent to the workers, and rows
+    are dealt over at least as many tasks as the session shuffles to, when the
+    input has fewer splits than that (a few large files)."""
+    ship(df.sparkSession)
     want = max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskforge.llm import decontamination, mixing, near_dedup, sharding
+from riskforge.llm import decontamination, language_id, mixing, near_dedup, sharding
 from riskforge.llm.common import table
 from riskforge.llm.sql import DECONTAMINATION, MIXING, SHARDING
 
@@ -18,6 +18,7 @@ def registry() -> dict[str, QueryFn]:
         "op4_decontamination": lambda s, d: decontamination.digest(table(s, d, "documents"), table(s, d, "benchmark")),
         "op5_mixing": lambda s, d: mixing.digest(table(s, d, "documents")),
         "op6_near_dedup": lambda s, d: near_dedup.digest(table(s, d, "documents")),
+        "op7_language_id": lambda s, d: language_id.digest(table(s, d, "documents")),
         "op10_sharding": lambda s, d: sharding.digest(table(s, d, "documents")),
     }
 
