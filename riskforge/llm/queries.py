@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskforge.llm import decontamination, language_id, mixing, near_dedup, sharding
+from riskforge.llm import decontamination, language_id, mixing, near_dedup, quality, sharding
 from riskforge.llm.common import table
 from riskforge.llm.sql import DECONTAMINATION, MIXING, SHARDING
 
@@ -15,6 +15,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 def registry() -> dict[str, QueryFn]:
     return {
+        "op3_quality": lambda s, d: quality.digest(table(s, d, "documents"), table(s, d, "labels")),
         "op4_decontamination": lambda s, d: decontamination.digest(table(s, d, "documents"), table(s, d, "benchmark")),
         "op5_mixing": lambda s, d: mixing.digest(table(s, d, "documents")),
         "op6_near_dedup": lambda s, d: near_dedup.digest(table(s, d, "documents")),

@@ -59,28 +59,31 @@ def buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
-def find(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def find(
+    data: np.ndarray, at: np.ndarray, as_read: np.ndarray = _BYTE, kinds: np.ndarray = _BYTE != 0
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first byte and end byte of every word, and the number of words
-    before each text (one more entry than texts)."""
+    before each text (one more entry than texts). By other tables: ``kinds``
+    gives each byte's kind (0: between words; a word is a run of one kind),
+    ``as_read`` the byte that enters the hash."""
     hashes, starts, ends = [], [], []
     low, n = 0, len(data)
     while low < n:
         high = min(n, low + _SLICE)
-        while high < n and _BYTE[data[high]]:  # a cut falls on a byte outside words
+        while high < n and kinds[data[high]]:  # a cut falls on a byte outside words
             step = data[high : high + 4096]
-            stop = np.flatnonzero(_BYTE[step] == 0)
+            stop = np.flatnonzero(kinds[step] == 0)
             high += int(stop[0]) if len(stop) else len(step)
-        part = _BYTE[data[low:high]]
-        word = part != 0
+        part = as_read[data[low:high]]
+        kind = kinds[data[low:high]]
         inner = at[(at > low) & (at < high)] - low
-        before = np.empty_like(word)
-        before[0], before[1:] = False, word[:-1]
-        before[inner] = False
-        after = np.empty_like(word)
-        after[-1], after[:-1] = False, word[1:]
-        after[inner - 1] = False
-        s = np.flatnonzero(word & ~before)
-        e = np.flatnonzero(word & ~after) + 1
+        edge = np.empty(len(part) + 1, bool)  # a run of one kind may begin or end before this byte
+        edge[0] = edge[-1] = True
+        edge[1:-1] = kind[1:] != kind[:-1]
+        edge[inner] = True
+        word = kind != 0
+        s = np.flatnonzero(word & edge[:-1])
+        e = np.flatnonzero(word & edge[1:]) + 1
         p, q = _power(len(part) + 1)
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(part * p[: len(part)], out=sums[1:])
