@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskforge.llm import decontamination, language_id, mixing, near_dedup, pii, quality, sharding
+from riskforge.llm import decontamination, language_id, mixing, near_dedup, pii, quality, sharding, token_output
 from riskforge.llm.common import table
 from riskforge.llm.sql import DECONTAMINATION, MIXING, SHARDING
 
@@ -20,6 +20,7 @@ def registry() -> dict[str, QueryFn]:
         "op5_mixing": lambda s, d: mixing.digest(table(s, d, "documents")),
         "op6_near_dedup": lambda s, d: near_dedup.digest(table(s, d, "documents")),
         "op7_language_id": lambda s, d: language_id.digest(table(s, d, "documents")),
+        "op8_token_output": lambda s, d: token_output.digest(s, table(s, d, "documents")),
         "op9_pii": lambda s, d: pii.digest(table(s, d, "documents")),
         "op10_sharding": lambda s, d: sharding.digest(table(s, d, "documents")),
     }
