@@ -10,12 +10,14 @@ between texts; every document gets its class.
 2. A band key held by several texts is a bucket. Every member is compared with
    the bucket's least member; the links found are contracted to components.
 3. A bucket that still holds several components gets all its pairs across
-   components. A bucket of more than ``WIDE`` members is first dealt into
-   finer ones: members that share a second band too (and then a third). A pair
-   at 0.8 shares some further band but for 4 in a million, so this keeps what
-   banding keeps; homogeneous groups of copies, however large, are gone by
-   then, as they are one component after step 2.
-4. Every candidate pair is compared exactly on its whole shingle sets.
+   components, each pair once, in the first band that its texts share. A
+   bucket of more than ``WIDE`` members is dealt into finer ones: its pairs
+   are formed where they share their second band too (and then their third).
+   A pair at 0.8 shares one band only with a chance of 5 in 100,000;
+   homogeneous groups of copies, however large, are gone by then, as they are
+   one component after step 2.
+4. Every candidate pair is compared exactly on its whole shingle sets (32 bits
+   of each shingle's hash).
 
 Pairs of copies are never expanded, nor are the pairs of a group of near
 copies: a group costs its size, not its square. Hot buckets are pre-aggregated
@@ -71,7 +73,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b, values, begin in _parts(batch.column("text")):
-            sets = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(values.astype(np.int64)))
+            short = (values & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+            sets = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(short))
             yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), sets], ["id", "shingles"])
 
 
@@ -82,13 +85,15 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sim, pa.float64())], ["a", "b", "sim"])
 
 
-def _links(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (a, b) of text numbers -> those whose texts are similar."""
-    pairs = cut(pairs)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    chosen = texts.join(wanted, "id").select("id", "t", "doc_id")
+def _sets(ids: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, shingles) of these texts, read from one document of each."""
+    chosen = texts.join(ids, "id").select("id", "t", "doc_id")
     found = chosen.join(docs, (docs.t == chosen.t) & docs.doc_id.eqNullSafe(chosen.doc_id)).select("id", "text")
-    sets = cut(found.mapInArrow(_shingle_sets, "id bigint, shingles array<bigint>").dropDuplicates(["id"]))
+    return cut(found.mapInArrow(_shingle_sets, "id bigint, shingles array<int>").dropDuplicates(["id"]))
+
+
+def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of text numbers -> those whose texts are similar."""
     both = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").join(
         sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a"
     )
@@ -116,31 +121,32 @@ def classes(docs: DataFrame) -> DataFrame:
     texts = cut(
         signed.dropDuplicates(["t"]).join(own, "t").withColumn("id", F.monotonically_increasing_id())
     )
-    members = texts.select("id", "n", F.explode("bands").alias("key"))
+    members = texts.select("id", "n", F.posexplode("bands").alias("band", "key"))
     firsts = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("id", "n")).alias("f")).filter("size > 1")
-    shared = cut(members.join(firsts, "key").select("key", "id", "n", F.col("f.id").alias("first"), F.col("f.n").alias("n_first")))
+    shared = cut(
+        members.join(firsts, "key").select("band", "key", "id", "n", F.col("f.id").alias("first"), F.col("f.n").alias("n_first"))
+    )
+    sets = _sets(shared.select("id").distinct(), texts, texts_of)
     near = shared.filter((F.col("id") != F.col("first")) & _close("n", "n_first"))
-    links = _links(near.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), texts, texts_of)
+    tested = cut(near.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct())
+    links = _links(tested, sets)
 
     # buckets that hold several components after this: all pairs across them
     label = components(links)
-    labelled = shared.select("key", "id", "n").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    left = cut(_mixed(labelled, ["key"]))
-    narrow, wide = left.filter(F.col("size") <= WIDE), left.filter(F.col("size") > WIDE)
-    across = [_across(narrow, ["key"])]
+    labelled = shared.select("band", "key", "id", "n").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    left = _mixed(labelled, ["band", "key"]).join(texts.select("id", "bands"), "id")
+    left = cut(left)
+    across = [_across(left.filter(F.col("size") <= WIDE), ["band"])]
+    wide = left.filter(F.col("size") > WIDE).drop("size")
     if wide.limit(1).count():
-        second = wide.select("id", F.col("key").alias("key2"))
-        finer = cut(_mixed(wide.drop("size").join(second, "id").filter("key < key2"), ["key", "key2"]))
-        across.append(_across(finer.filter(F.col("size") <= WIDE), ["key", "key2"]))
-        third = wide.select("id", F.col("key").alias("key3"))
-        finest = _mixed(finer.filter(F.col("size") > WIDE).drop("size").join(third, "id").filter("key2 < key3"), ["key", "key2", "key3"])
-        across.append(_across(finest, ["key", "key2", "key3"]))
+        finer = cut(_mixed(_finer(wide, "band", "band2", "key2"), ["band", "key", "band2", "key2"]))
+        across.append(_across(finer.filter(F.col("size") <= WIDE), ["band", "band2"]))
+        finest = _finer(finer.filter(F.col("size") > WIDE).drop("size"), "band2", "band3", "key3")
+        across.append(_across(finest, ["band", "band2", "band3"]))
     more = across[0]
     for x in across[1:]:
         more = more.unionByName(x)
-    tested = near.select(F.col("first").alias("a"), F.col("id").alias("b"))
-    more = more.distinct().join(tested, ["a", "b"], "left_anti")
-    links = cut(links.unionByName(_links(more, texts, texts_of)))
+    links = cut(links.unionByName(_links(more.join(tested, ["a", "b"], "left_anti"), sets)))
 
     label = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
@@ -157,11 +163,22 @@ def classes(docs: DataFrame) -> DataFrame:
     return texts_of.select("doc_id", "t").join(of_text, "t")
 
 
-def _across(members: DataFrame, keys: list[str]) -> DataFrame:
-    a = members.select(*keys, F.col("id").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"))
-    b = members.select(*keys, F.col("id").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"))
-    pairs = a.join(b, keys).filter((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _close("na", "nb"))
-    return pairs.select("a", "b").distinct()
+def _finer(members: DataFrame, last: str, band: str, key: str) -> DataFrame:
+    """Members once for each of their further bands."""
+    return members.select("*", F.posexplode("bands").alias(band, key)).filter(F.col(band) > F.col(last))
+
+
+def _across(members: DataFrame, levels: list[str]) -> DataFrame:
+    """Pairs (a, b) across components of a bucket, where ``levels`` are the
+    first bands that both share."""
+    on = [c for level in levels for c in (level, level.replace("band", "key"))]
+    a = members.select(*on, F.col("id").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("bands").alias("xs"))
+    b = members.select(*on, F.col("id").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("bands").alias("ys"))
+    same = F.zip_with("xs", "ys", lambda x, y: x == y)
+    common = F.filter(F.transform(same, lambda x, i: F.when(x, i).otherwise(-1)), lambda i: i >= 0)
+    first = F.slice(common, 1, len(levels)) == F.array(*levels)
+    pairs = a.join(b, on).filter((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _close("na", "nb") & first)
+    return pairs.select("a", "b")
 
 
 def digest(docs: DataFrame) -> DataFrame:
