@@ -44,13 +44,13 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def spread(df: DataFrame, least: int = 1) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Rows for Python functions: the package is sent to the workers, and rows
-    are dealt over at least as many tasks as the session shuffles to, when the
-    input has fewer splits than that (a few large files)."""
+    are dealt anew only when the input has fewer splits than the application
+    has cores."""
     ship(df.sparkSession)
-    want = max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def text_or_empty(name: str = "text") -> Column:
