@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskforge.llm import decontamination, html_extraction, language_id, mixing, near_dedup, pii, quality, sharding, token_output
+from riskforge.llm import ann, decontamination, html_extraction, language_id, mixing, near_dedup, pii, quality, sharding, token_output
 from riskforge.llm.common import table
 from riskforge.llm.sql import DECONTAMINATION, MIXING, SHARDING
 
@@ -15,6 +15,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 def registry() -> dict[str, QueryFn]:
     return {
+        "op1_ann": lambda s, d: ann.digest(table(s, d, "embeddings")),
         "op2_html_extraction": lambda s, d: html_extraction.digest(table(s, d, "pages")),
         "op3_quality": lambda s, d: quality.digest(table(s, d, "documents"), table(s, d, "labels")),
         "op4_decontamination": lambda s, d: decontamination.digest(table(s, d, "documents"), table(s, d, "benchmark")),
