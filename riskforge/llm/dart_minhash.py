@@ -88,6 +88,8 @@ def _throw(element, cell, level, theta, doc, weight, slots, k):
 
 def signatures(values: np.ndarray, begin: np.ndarray, k: int = K, extra: float = 4.0) -> np.ndarray:
     """One row of k ranks for each text; texts without shingles get NaN."""
+    if k > 1 << 11:
+        raise ValueError("a dart's coordinate has 11 bits")
     texts = len(begin) - 1
     slots = np.full(texts * k, np.inf)
     doc = np.repeat(np.arange(texts), np.diff(begin))
@@ -126,6 +128,26 @@ def bands(signature: np.ndarray, n_bands: int = BANDS, rows: int = ROWS) -> np.n
     return mix64(key + np.arange(1, n_bands + 1, dtype=np.uint64)[None, :] * _ODD).view(np.int64)
 
 
+def odd_sketches(values: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity bitmaps of the texts' shingles, in 64-bit words, and where each
+    text's begin. Every occurrence flips one bit of at least four a shingle, so
+    two bitmaps differ in no more bits than the sets have unshared shingles: a
+    bound without loss. Sizes are powers of two; halves of a bitmap combined by
+    exclusive or are the bitmap of half the size."""
+    n = np.diff(begin)
+    doc = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(values))
+    new = np.ones(len(values), bool)
+    new[1:] = (values[1:] != values[:-1]) | (doc[1:] != doc[:-1])
+    number = at - np.maximum.accumulate(np.where(new, at, 0)) if len(at) else at
+    words = np.maximum(1, 1 << np.ceil(np.log2(np.maximum(n, 1) * 4 / 64)).clip(0).astype(np.int64))
+    first = np.concatenate([[0], np.cumsum(words)])
+    place = mix64(values + number.astype(np.uint64) * _ODD) & (words[doc] * 64 - 1).astype(np.uint64)
+    out = np.zeros(first[-1], np.uint64)
+    np.bitwise_xor.at(out, first[doc] + (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+    return out, first
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Weighted Jaccard similarity of two sorted arrays with repeats."""
     if not len(a) or not len(b):

@@ -10,7 +10,10 @@ between texts; every document gets its class.
 2. A band key held by several texts is a bucket. Every member is compared with
    the bucket's least member; the links found are contracted to components.
 3. A bucket that still holds several components gets all its pairs across
-   components, each pair once, in the first band that its texts share. A
+   components that their parity bitmaps (odd sketches) do not rule out: two
+   texts have no fewer unshared shingles than their bitmaps have different
+   bits, so nothing similar is lost and few others are left. Each pair is
+   formed once, in the first band that its texts share. A
    bucket of more than ``WIDE`` members is dealt into finer ones: its pairs
    are formed where they share their second band too (and then their third).
    A pair at 0.8 shares one band only with a chance of 5 in 100,000;
@@ -41,11 +44,11 @@ from pyspark.sql import functions as F
 
 from riskforge.llm.common import cut, spread, text_or_empty
 from riskforge.llm.components import components
-from riskforge.llm.dart_minhash import BANDS, BATCH, bands, shingles, signatures, similarity
+from riskforge.llm.dart_minhash import BANDS, BATCH, bands, odd_sketches, shingles, signatures, similarity
 from riskforge.llm.words import buffer, groups
 
 THRESHOLD = 0.8
-WIDE = 256
+WIDE = 1024
 CHUNK = 1 << 21
 
 
@@ -75,7 +78,9 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for a, b, values, begin in _parts(batch.column("text")):
             short = (values & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
             sets = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(short))
-            yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), sets], ["id", "shingles"])
+            words, first = odd_sketches(values, begin)
+            odd = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(words.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), sets, odd], ["id", "shingles", "odd"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,10 +91,10 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(ids: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
-    """(id, shingles) of these texts, read from one document of each."""
+    """(id, shingles, odd sketch) of these texts, read from one document of each."""
     chosen = texts.join(ids, "id").select("id", "t", "doc_id")
     found = chosen.join(docs, (docs.t == chosen.t) & docs.doc_id.eqNullSafe(chosen.doc_id)).select("id", "text")
-    return cut(found.mapInArrow(_shingle_sets, "id bigint, shingles array<int>").dropDuplicates(["id"]))
+    return cut(found.mapInArrow(_shingle_sets, "id bigint, shingles array<int>, odd array<bigint>").dropDuplicates(["id"]))
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -134,8 +139,7 @@ def classes(docs: DataFrame) -> DataFrame:
     # buckets that hold several components after this: all pairs across them
     label = components(links)
     labelled = shared.select("band", "key", "id", "n").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    left = _mixed(labelled, ["band", "key"]).join(texts.select("id", "bands"), "id")
-    left = cut(left)
+    left = cut(_mixed(labelled, ["band", "key"]).join(texts.select("id", "bands"), "id").join(sets.select("id", "odd"), "id"))
     across = [_across(left.filter(F.col("size") <= WIDE), ["band"])]
     wide = left.filter(F.col("size") > WIDE).drop("size")
     if wide.limit(1).count():
@@ -172,15 +176,35 @@ def _across(members: DataFrame, levels: list[str]) -> DataFrame:
     """Pairs (a, b) across components of a bucket, where ``levels`` are the
     first bands that both share."""
     on = [c for level in levels for c in (level, level.replace("band", "key"))]
-    a = members.select(*on, F.col("id").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("bands").alias("xs"))
-    b = members.select(*on, F.col("id").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("bands").alias("ys"))
+    a = members.select(*on, F.col("id").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("bands").alias("xs"), F.col("odd").alias("xo"))
+    b = members.select(*on, F.col("id").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("bands").alias("ys"), F.col("odd").alias("yo"))
     same = F.zip_with("xs", "ys", lambda x, y: x == y)
     common = F.filter(F.transform(same, lambda x, i: F.when(x, i).otherwise(-1)), lambda i: i >= 0)
     first = F.slice(common, 1, len(levels)) == F.array(*levels)
-    pairs = a.join(b, on).filter((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _close("na", "nb") & first)
+    apart = F.col("la") != F.col("lb")
+    pairs = a.join(b, on).filter((F.col("a") < F.col("b")) & apart & _close("na", "nb") & first & _may_be_similar())
     return pairs.select("a", "b")
 
 
+def _may_be_similar():
+    """Bitmaps xo, yo of sets of na, nb shingles allow the threshold. Sets of
+    similarity s leave (1 - s) / (1 + s) of all their shingles unshared."""
+
+    def half(x):
+        h = F.floor(F.size(x) / 2).cast("int")
+        return F.zip_with(F.slice(x, F.lit(1), h), F.slice(x, h + 1, h), lambda p, q: p.bitwiseXOR(q))
+
+    def apart(x, y):
+        bits = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+        return F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+
+    x, y = F.col("xo"), F.col("yo")
+    found = (
+        F.when(F.size(x) == F.size(y), apart(x, y)).when(F.size(x) > F.size(y), apart(half(x), y)).otherwise(apart(x, half(y)))
+    )
+    return found <= (F.col("na") + F.col("nb")) * ((1 - THRESHOLD) / (1 + THRESHOLD)) + 1e-6
+
+
 def digest(docs: DataFrame) -> DataFrame:
     """The result columns of the registered query."""
     kept = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("t") == F.col("class_t"))
@@ -192,10 +216,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     found = classes(docs)
     reps = cut(found.filter(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("t") == F.col("class_t"))).select("doc_id", "t"))
     repeated = reps.groupBy("doc_id", "t").count().filter("count > 1").limit(1).count()
-    named = docs.withColumn("d_t", F.md5(text_or_empty().cast("binary")))
-    out = named.join(
-        reps.select(F.col("doc_id").alias("d_id"), "t"), (F.col("d_t") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d_id")), "left_semi"
-    )
+    named = docs.withColumn("__t", F.md5(text_or_empty().cast("binary")))
+    kept = reps.select(F.col("doc_id").alias("__kept_id"), F.col("t").alias("__kept_t"))
+    out = named.join(kept, (F.col("__t") == F.col("__kept_t")) & F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")
     if repeated:  # repeated rows: the same text under the same doc_id
-        out = out.dropDuplicates(["doc_id", "d_t"])
-    return out.drop("d_t")
+        out = out.dropDuplicates(["doc_id", "__t"])
+    return out.drop("__t")
