@@ -202,8 +202,11 @@ def digest(docs: DataFrame) -> DataFrame:
             F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
         )
 
+    def counted(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
-    counts = {f"n_{k}": F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long") for k in BASE}
+    counts = {f"n_{k}": counted(k) for k in BASE}
     return found.withColumns(
         {**counts, "base_sha256": F.sha2(joined(base).cast("binary"), 256), "spans": joined(F.col("spans"))}
     ).select("doc_id", *counts, "base_sha256", "spans")
