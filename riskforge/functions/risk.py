@@ -155,7 +155,7 @@ def avg_exact(c) -> Column:
     """
     col = _c(c)
     total = F.sum(col).cast("decimal(27,8)")
-    n = F.count(col).cast("decimal(10,0)")
+    n = F.count(col).cast("decimal(20,0)")
     return F.round(total / F.nullif(n, F.lit(0)), 15)
 
 

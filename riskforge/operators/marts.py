@@ -2,9 +2,8 @@
 
 Plans, in Spark terms:
 
-* ``credit_risk_enriched``: loans left-join counterparties on
-  ``counterparty_id``, then left-join RWA on ``loan_id`` (one row per loan
-  on both sides). Only the attribute columns each join needs are carried.
+* ``credit_risk_enriched``: loans left-join RWA on ``loan_id`` (one row per loan on
+  both sides), then left-join counterparties on ``counterparty_id``. Only the attribute columns each join needs are carried.
   No broadcast hint: AQE turns a join into a broadcast join when the
   measured size of a side is under the threshold, and splits skewed
   partitions (a counterparty holding a third of all loans) on the loan side.
@@ -78,8 +77,9 @@ def credit_risk_enriched(loans: DataFrame, counterparties: DataFrame, rwa: DataF
         "loan_id", "risk_weight", "credit_rwa", "operational_rwa", "market_rwa",
         "total_rwa", "capital_requirement", "approach",
     ).alias("r")
-    joined = l.join(c, F.col("l.counterparty_id") == F.col("c.counterparty_id"), "left").join(
-        r, F.col("l.loan_id") == F.col("r.loan_id"), "left"
+    # RWA first: both sides meet on the loan key, which is not skewed
+    joined = l.join(r, F.col("l.loan_id") == F.col("r.loan_id"), "left").join(
+        c, F.col("l.counterparty_id") == F.col("c.counterparty_id"), "left"
     )
     pd_, lgd, ead = F.col("l.pd_estimate"), F.col("l.lgd_estimate"), F.col("l.ead_estimate")
     collateral, outstanding = F.col("l.collateral_value"), F.col("l.outstanding_balance")

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import warnings
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,26 +28,43 @@ def load_testdata_raw(spark: SparkSession, sf_dir: str, materialize: bool = True
     session when ``materialize`` (lineage to the test tables is cut there)."""
     from riskforge.sources.testdata import raw_tables
 
-    app = spark.sparkContext.applicationId
-    key = (app, sf_dir, materialize)
+    key = _state(spark, sf_dir, materialize)
     if key not in _RAW:
-        raw = raw_tables(spark, sf_dir)
         if materialize:
-            tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-            base = warehouse_path(spark, f"raw_layer/{app}/{tag}")
-            try:
-                loaded = {}
-                for name, df in raw.items():
-                    path = f"{base}/{name}"
-                    df.write.mode("overwrite").parquet(path)
-                    loaded[name] = spark.read.parquet(path)
-                raw = loaded
-            except Exception as exc:  # no writable shared folder: stay lazy
-                warnings.warn(f"raw layer not materialized ({exc.__class__.__name__}); using lazy tables")
-        _RAW[key] = raw
+            stored = _store(spark, key)
+            tables = raw_tables(spark, sf_dir, stored)
+            _RAW[key] = {name: stored(name, df) for name, df in tables.items()}
+        else:
+            _RAW[key] = raw_tables(spark, sf_dir)
     return _RAW[key]
 
 
+def _state(spark: SparkSession, sf_dir: str, materialize: bool) -> tuple:
+    """Names the input as it is now: files that are replaced give another key."""
+    from riskforge.sources.testdata import TPCH_TABLES
+
+    conf = spark._jsc.hadoopConfiguration()
+    files = []
+    for name in TPCH_TABLES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        for f in path.getFileSystem(conf).listStatus(path):
+            files.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return spark.sparkContext.applicationId, sf_dir, materialize, tuple(files)
+
+
+def _store(spark: SparkSession, key: tuple):
+    """A function that writes a table under the shared folder and reads it back."""
+    tag = hashlib.sha1(repr(key).encode()).hexdigest()[:12]
+    base = warehouse_path(spark, f"raw_layer/{key[0]}/{tag}")
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        path = f"{base}/{name}"
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return stored
+
+
 class Build:
     def __init__(
         self,
@@ -57,16 +73,26 @@ class Build:
         stress: StressConfig = DEFAULT_STRESS,
         audit: bool = True,
         reporting_date=None,
+        store=None,
     ):
         """``reporting_date`` (a date or ISO text) scopes the run to one
-        reporting snapshot: every source is filtered on its raw
+        reporting snapshot: the sources are filtered on their raw
         ``reporting_date`` before staging, so the predicate reaches the scans
-        and prunes date partitions of the raw tables. ``None`` keeps all
-        snapshots."""
+        and prunes date partitions of the raw tables. Capital components keep
+        all periods until the marts have looked back one period. ``None``
+        keeps all snapshots.
+
+        ``store`` (name, DataFrame -> DataFrame) writes a model and reads it
+        back; with it the enriched loans are evaluated once and the marts,
+        reports and tests read the table."""
         if reporting_date is not None:
             day = F.lit(reporting_date).cast("date")
-            raw = {name: df.filter(F.col("reporting_date") == day) for name, df in raw.items()}
+            raw = {
+                name: df if name == "capital_components" else df.filter(F.col("reporting_date") == day)
+                for name, df in raw.items()
+            }
         self.raw = raw
+        self.store = store
         self.thresholds = thresholds
         self.stress = stress
         self.audit = audit
@@ -83,10 +109,11 @@ class Build:
         pushdown, pruning and file statistics. Plans are immutable, so one
         graph per (session, directory, options) is shared by every query.
         """
-        app = spark.sparkContext.applicationId
-        key = (app, sf_dir, materialize, tuple(sorted(kw.items())))
+        state = _state(spark, sf_dir, materialize)
+        key = (state, tuple(sorted(kw.items())))
         if key not in _GRAPHS:
-            _GRAPHS[key] = cls(load_testdata_raw(spark, sf_dir, materialize), **kw)
+            store = _store(spark, key) if materialize else None
+            _GRAPHS[key] = cls(load_testdata_raw(spark, sf_dir, materialize), store=store, **kw)
         return _GRAPHS[key]
 
     @classmethod
@@ -133,20 +160,26 @@ class Build:
             self.stg_loan_portfolio, self.stg_counterparties, self.stg_rwa_components
         )
 
+    @cached_property
+    def enriched_table(self) -> DataFrame:
+        """The enriched loans as a stored table (the plan itself without a store)."""
+        df = self.credit_risk_enriched
+        return self.store("int_credit_risk_enriched", df) if self.store else df
+
     @cached_property
     def basel3_rwa_report(self) -> DataFrame:
-        return marts.basel3_rwa_report(self.credit_risk_enriched, audit=self.audit)
+        return marts.basel3_rwa_report(self.enriched_table, audit=self.audit)
 
     @cached_property
     def basel3_rwa_report_by_sector(self) -> DataFrame:
         """The RWA report with ``sector`` added to the segment keys (the
         sector concentration report groups by it)."""
         keys = marts.RWA_SEGMENT_KEYS + ("sector",)
-        return marts.basel3_rwa_report(self.credit_risk_enriched, keys=keys, audit=self.audit)
+        return marts.basel3_rwa_report(self.enriched_table, keys=keys, audit=self.audit)
 
     @cached_property
     def capital_adequacy(self) -> DataFrame:
-        return marts.capital_adequacy(self.stg_capital_components, self.thresholds, self.audit)
+        return self._scoped(marts.capital_adequacy(self.stg_capital_components, self.thresholds, self.audit))
 
     @cached_property
     def ccar_stress_test(self) -> DataFrame:
@@ -156,7 +189,13 @@ class Build:
 
     @cached_property
     def liquidity_coverage(self) -> DataFrame:
-        return marts.liquidity_coverage(self.stg_capital_components, self.thresholds, self.audit)
+        return self._scoped(marts.liquidity_coverage(self.stg_capital_components, self.thresholds, self.audit))
+
+    def _scoped(self, mart: DataFrame) -> DataFrame:
+        """The reporting date's rows, after the prior period has been looked up."""
+        if self.reporting_date is None:
+            return mart
+        return mart.filter(F.col("reporting_date") == F.lit(self.reporting_date).cast("date"))
 
     def register_views(self, prefix: str = "") -> list[str]:
         """Expose every source and model as a temp view (``loan_portfolio``
@@ -182,7 +221,7 @@ class Build:
             ("staging", "stg_rwa_components", self.stg_rwa_components),
             ("staging", "stg_capital_components", self.stg_capital_components),
             ("staging", "stg_stress_scenarios", self.stg_stress_scenarios),
-            ("intermediate", "int_credit_risk_enriched", self.credit_risk_enriched),
+            ("intermediate", "int_credit_risk_enriched", self.enriched_table),
             ("credit", "fct_basel3_rwa_report", self.basel3_rwa_report),
             ("capital", "fct_capital_adequacy", self.capital_adequacy),
             ("capital", "fct_ccar_stress_test", self.ccar_stress_test),

@@ -64,7 +64,7 @@ def registry() -> dict[str, QueryFn]:
         ),
         "report_capital_trend": _build_fn(lambda b: reports.capital_trend(b.capital_adequacy)),
         "report_watch_list": _build_fn(
-            lambda b: reports.watch_list(b.credit_risk_enriched, b.stg_counterparties)
+            lambda b: reports.watch_list(b.enriched_table, b.stg_counterparties)
         ),
         "report_liquidity": _build_fn(lambda b: reports.liquidity_summary(b.liquidity_coverage)),
         "report_row_counts": _build_fn(lambda b: reports.row_counts(b.models())),
@@ -79,7 +79,7 @@ def registry() -> dict[str, QueryFn]:
         "stress_shock": _build_fn(lambda b: formulas.stress_shock(b.stg_loan_portfolio)),
         "segment_drill_through": _build_fn(
             lambda b: formulas.drill_through(
-                b.credit_risk_enriched, b.basel3_rwa_report.filter("high_risk_segment")
+                b.enriched_table, b.basel3_rwa_report.filter("high_risk_segment")
             )
         ),
         "expected_loss_by_rating": _build_fn(lambda b: formulas.expected_loss_by_rating(b.stg_loan_portfolio)),

@@ -41,6 +41,9 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     raw = (
         spark.read.option("header", True)
         .option("inferSchema", False)
+        .option("quote", '"')
+        .option("escape", '"')  # a quote inside a quoted field is doubled
+        .option("multiLine", True)
         .option("nullValue", "")
         .option("emptyValue", None)
         .csv(path)
@@ -56,7 +59,7 @@ def load(spark: SparkSession, table: str, path: str, fmt: str | None = None) ->
     """Named source reference: a raw table by name from a path."""
     if table not in RAW_SCHEMAS:
         raise KeyError(f"unknown source table {table!r}")
-    fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
+    fmt = fmt or ("csv" if path.rstrip("/").endswith((".csv", ".csv.gz")) else "parquet")
     if fmt == "csv":
         return read_csv(spark, path, table)
     if fmt == "parquet":

@@ -3,9 +3,8 @@
 A materialized table is written as parquet and read back, so consumers plan
 against the written files: the lineage is cut there (a lost executor never
 recomputes upstream models) and the optimizer sees real file statistics.
-Tables are partitioned by ``reporting_date`` and written with dynamic
-partition overwrite, so re-running one reporting date replaces only that
-date's partition.
+Tables are partitioned by ``reporting_date``. A run replaces the whole table;
+a run scoped to one reporting date replaces that date's partition only.
 """
 
 from __future__ import annotations
@@ -33,33 +32,52 @@ def materialize_table(
     schema: str,
     name: str,
     partition_by: tuple[str, ...] | None = ("reporting_date",),
+    reporting_date=None,
 ) -> DataFrame:
-    """Table materialization (full rebuild of the affected partitions)."""
+    """Table materialization: a full rebuild, after which the table holds the
+    rows of ``df`` and no others (none, if the model is empty).
+
+    With ``reporting_date`` the run is scoped: only that date's partition is
+    rebuilt (removed, if the model has no rows for it) and other dates stay.
+    """
     spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     path = _join(base, schema, name)
-    writer = df.write.mode("overwrite")
     cols = [c for c in (partition_by or ()) if c in df.columns]
+    scoped = reporting_date is not None and cols == ["reporting_date"]
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if scoped else "static")
     if cols:
         writer = writer.partitionBy(*cols)
     writer.parquet(path)
-    return spark.read.parquet(path)
+    if scoped and df.isEmpty():
+        _delete(spark, _join(path, f"reporting_date={reporting_date}"))
+    return spark.read.schema(df.schema).parquet(path).select(df.columns)
+
+
+def _delete(spark, path: str) -> None:
+    """Remove a folder through the file system that Spark uses for it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def register_table(df: DataFrame, base: str, schema: str, name: str) -> str:
+def register_table(
+    df: DataFrame, base: str, schema: str, name: str, partition_by: tuple[str, ...] = ("reporting_date",)
+) -> str:
     """Make a materialized table queryable as ``schema.name`` in Spark SQL.
 
     The database is created at ``base/schema`` and the table is an external
     parquet table over the written files, so analyst SQL written against
-    schema-qualified tables runs unchanged through ``spark.sql``. Partition
-    directories are discovered from the files.
+    schema-qualified tables runs unchanged through ``spark.sql``. The schema is
+    the model's, so an empty table has its columns too.
     """
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` LOCATION '{_join(base, schema)}'")
-    spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
     qualified = f"`{schema}`.`{name}`"
-    spark.catalog.createTable(qualified, path=_join(base, schema, name), source="parquet")
-    if spark.sql(f"DESCRIBE TABLE EXTENDED {qualified}").filter("col_name = '# Partition Information'").count():
+    spark.sql(f"DROP TABLE IF EXISTS {qualified}")
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    parts = [c for c in partition_by if c in df.columns]
+    partitioned = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)})" if parts else ""
+    spark.sql(f"CREATE TABLE {qualified} ({cols}) USING parquet {partitioned} LOCATION '{_join(base, schema, name)}'")
+    if parts:
         spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
     return f"{schema}.{name}"
 

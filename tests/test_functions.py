@@ -116,13 +116,3 @@ def test_cluster_profile_respects_submitted_values(spark):
         for k in CLUSTER_DEFAULTS:
             s.conf.unset(k)
         s.conf.set("spark.sql.shuffle.partitions", before)
-
-
-def test_broadcast_guard(spark):
-    from riskforge.plans import sizing
-
-    small = spark.range(10)
-    assert sizing.row_count_at_most(small, 10) and not sizing.row_count_at_most(small, 9)
-    assert sizing.estimated_bytes(spark.read.parquet("/root/testdata/sf0.001/nation.parquet")) > 0
-    big = spark.range(0, 10**12, 1, 64)  # estimate far above the probe bound: no job runs
-    assert sizing.row_count_at_most(big, 100) is False
