@@ -1,10 +1,10 @@
 """Data-quality gate: expectation suites on the raw sources, and schema
 tests on sources and models.
 
-Each suite is evaluated with ONE aggregate over its table (all checks of the
-suite share the scan; map-side partial aggregation, one row out), plus one
-distinct-value shuffle for a uniqueness check. The one-row result is
-exploded into a row per check. Percentages are exact: they are derived from
+The counters of a suite are one aggregate without keys over its table (one
+partial row for each task). A uniqueness check is a group-by on its column
+alone, and the offending values of all in-set checks are found in one further
+pass that shuffles only them. The results are a row for each check. Percentages are exact: they are derived from
 integer counts, so the pass/fail cut and the two-decimal text never depend
 on floating-point rounding. Nothing is collected to the driver except by
 ``gate``, which reads a single summary row.
@@ -15,7 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,13 +131,22 @@ SUITES: dict[str, list[Check]] = {
 
 
 def _numeric(df: DataFrame, col: str) -> Column:
-    """The column as a number; unparseable text becomes NULL."""
+    """The column as a number; text that is none, and NaN, become NULL."""
     c = F.col(col)
-    if isinstance(df.schema[col].dataType, T.StringType):
-        return c.try_cast("double")
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.StringType):
+        c = c.try_cast("double")
+    if isinstance(kind, (T.StringType, T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(c), c)
     return c
 
 
+def _missing(df: DataFrame, col: str) -> Column:
+    """NULL, or NaN in a column of floating-point numbers."""
+    c = F.col(col)
+    return c.isNull() | F.isnan(c) if isinstance(df.schema[col].dataType, (T.FloatType, T.DoubleType)) else c.isNull()
+
+
 def _pct_text(count: Column, n: Column) -> Column:
     """count / n as a percentage with two decimals (half-up), 'nan' if n=0."""
     pct = F.round(count.cast("decimal(20,0)") * 100 / F.nullif(n, F.lit(0)).cast("decimal(20,0)"), 2)
@@ -152,16 +161,12 @@ def _within(count: Column, n: Column, threshold) -> Column:
 
 
 def _measures(df: DataFrame, checks: list[Check]) -> list[Column]:
-    """The aggregate expressions a suite needs, aliased m<i>/e<i>."""
+    """The counters a suite needs, aliased m<i>."""
     out = [F.count(F.lit(1)).alias("n")]
     for i, ck in enumerate(checks):
         c = F.col(ck.column) if ck.column else None
         if ck.kind == "not_null":
-            out.append(F.count_if(c.isNull()).alias(f"m{i}"))
-        elif ck.kind == "unique":
-            # rows after the first of each value; NULLs count as one value
-            out.append(F.count_distinct(c).alias(f"m{i}"))
-            out.append(F.max(c.isNull().cast("int")).alias(f"e{i}"))
+            out.append(F.count_if(_missing(df, ck.column)).alias(f"m{i}"))
         elif ck.kind == "between":
             x = _numeric(df, ck.column)
             out.append(F.count_if(F.coalesce((x < ck.args[0]) | (x > ck.args[1]), F.lit(False))).alias(f"m{i}"))
@@ -183,8 +188,7 @@ def _result(ck: Check, i: int) -> tuple[Column, Column]:
     if ck.kind == "not_null":
         return _within(m, n, t), F.concat(F.lit("Null pct: "), _pct_text(m, n), F.lit(f"% (max allowed: {t}%)"))
     if ck.kind == "unique":
-        dups = n - m - F.coalesce(F.col(f"e{i}"), F.lit(0))
-        return dups == 0, F.concat(F.lit("Duplicate count: "), dups.cast("string"))
+        return m == 0, F.concat(F.lit("Duplicate count: "), m.cast("string"))
     if ck.kind == "between":
         return _within(m, n, t), F.concat(
             F.lit("Out-of-range pct: "), _pct_text(m, n), F.lit(f"% (max allowed: {t}%)")
@@ -202,72 +206,65 @@ def _result(ck: Check, i: int) -> tuple[Column, Column]:
     raise ValueError(ck.kind)
 
 
-def _examples(df: DataFrame, checks: list[Check]) -> DataFrame | None:
-    """(check_no, examples) for the in-set checks: the first EXAMPLES
-    distinct offending values in sort order (NULL last, shown as nan),
-    rendered as a list literal. Distinct values are found with a group-by
-    (partial aggregation first), then a top-k; no group is collected."""
-    parts = []
+def _examples(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """(check_no, examples) for the in-set checks with offending values: the
+    first EXAMPLES distinct ones in sort order (NULL last, shown as nan),
+    rendered as a list literal. One pass over the table for all checks; only
+    offending values are shuffled, and at most EXAMPLES of a check are
+    collected."""
+    bad = []
     for i, ck in enumerate(checks):
-        if ck.kind != "in_set":
-            continue
-        c = F.col(ck.column)
-        # NULL or outside the set, written so parquet can take it (row groups
-        # whose dictionary holds only valid values are skipped)
-        bad = df.filter(c.isNull() | ~c.isin(*ck.args)).select(c.cast("string").alias("v"))
-        top = bad.distinct().orderBy(F.col("v").asc_nulls_last()).limit(EXAMPLES)
-        shown = F.when(F.col("v").isNull(), F.lit("nan")).otherwise(F.concat(F.lit("'"), F.col("v"), F.lit("'")))
-        ordered = F.sort_array(F.collect_list(F.struct(F.col("v").isNull().alias("z"), F.col("v"), shown.alias("s"))))
-        parts.append(
-            top.agg(ordered.alias("a")).select(
-                F.lit(i + 1).alias("check_no"),
-                F.concat(F.lit("["), F.array_join(F.col("a.s"), ", "), F.lit("]")).alias("examples"),
-            )
-        )
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        if ck.kind == "in_set":
+            c = F.col(ck.column)
+            row = F.struct(F.lit(i + 1).alias("check_no"), c.cast("string").alias("v"))
+            bad.append(F.when(c.isNull() | ~c.isin(*ck.args), row))
+    found = df.select(F.explode(F.array(*bad)).alias("r")).filter(F.col("r").isNotNull()).select("r.*").distinct()
+    order = Window.partitionBy("check_no").orderBy(F.col("v").asc_nulls_last())
+    first = found.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= EXAMPLES)
+    shown = F.when(F.col("v").isNull(), F.lit("nan")).otherwise(F.concat(F.lit("'"), F.col("v"), F.lit("'")))
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("k", shown.alias("s")))), lambda x: x["s"])
+    return first.groupBy("check_no").agg(F.concat(F.lit("["), F.array_join(listed, ", "), F.lit("]")).alias("examples"))
 
 
 def run_suite(name: str, df: DataFrame, checks: list[Check], with_examples: bool = True) -> DataFrame:
     """Rows (suite, check_no, check, status, detail), one per check.
 
     ``with_examples=False`` leaves the offending-value examples out of the
-    in-set details (and their scans out of the plan) when only the statuses
+    in-set details (and their scan out of the plan) when only the statuses
     are needed."""
-    agg = df.agg(*_measures(df, checks))
-    rows = []
-    for i, ck in enumerate(checks):
+
+    def row(i: int, ck: Check) -> Column:
         ok, detail = _result(ck, i)
-        rows.append(
-            F.struct(
-                F.lit(i + 1).alias("check_no"),
-                F.lit(ck.name).alias("check"),
-                F.when(ok, F.lit(PASS)).otherwise(F.lit(FAIL)).alias("status"),
-                detail.alias("detail"),
-            )
+        return F.struct(
+            F.lit(name).alias("suite"),
+            F.lit(i + 1).alias("check_no"),
+            F.lit(ck.name).alias("check"),
+            F.when(ok, F.lit(PASS)).otherwise(F.lit(FAIL)).alias("status"),
+            detail.alias("detail"),
         )
-    res = agg.select(F.explode(F.array(*rows)).alias("r")).select(F.lit(name).alias("suite"), "r.*")
-    ex = _examples(df, checks) if with_examples else None
-    if ex is not None:
-        # Every in-set check has an examples row (an empty list renders as
-        # "[]"); others have none. The rows are merged by a union and a
-        # group-by on check_no over at most two rows per check (no join).
+
+    counted = [(i, ck) for i, ck in enumerate(checks) if ck.kind != "unique"]
+    res = df.agg(*_measures(df, checks)).select(F.explode(F.array(*[row(i, ck) for i, ck in counted])).alias("r")).select("r.*")
+    for i, ck in enumerate(checks):
+        if ck.kind == "unique":
+            # rows after the first of each value; NULLs count as one value
+            dups = df.groupBy(ck.column).agg(F.count(F.lit(1)).alias("rows")).agg(
+                F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias(f"m{i}"), F.lit(0).alias("n")
+            )
+            res = res.unionByName(dups.select(row(i, ck).alias("r")).select("r.*"))
+    in_set = [i + 1 for i, ck in enumerate(checks) if ck.kind == "in_set"]
+    if with_examples and in_set:
+        # merged by a group-by on check_no over at most two rows per check
         cols = ["suite", "check", "status", "detail"]
         both = res.withColumn("examples", F.lit(None).cast("string")).unionByName(
-            ex.select("check_no", *[F.lit(None).cast("string").alias(c) for c in cols], "examples")
+            _examples(df, checks).select("check_no", *[F.lit(None).cast("string").alias(c) for c in cols], "examples")
         )
-        res = both.groupBy("check_no").agg(
-            *[F.first(c, ignorenulls=True).alias(c) for c in cols + ["examples"]]
-        ).select(
-            "suite",
-            "check_no",
-            "check",
-            "status",
-            F.coalesce(F.concat(F.col("detail"), F.col("examples")), F.col("detail")).alias("detail"),
+        shown = F.coalesce(F.first("examples", ignorenulls=True), F.lit("[]"))
+        res = (
+            both.groupBy("check_no")
+            .agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols], shown.alias("examples"))
+            .withColumn("detail", F.when(F.col("check_no").isin(*in_set), F.concat("detail", "examples")).otherwise(F.col("detail")))
+            .select("suite", "check_no", "check", "status", "detail")
         )
     return res
 
@@ -301,6 +298,14 @@ def summarize(results: DataFrame) -> DataFrame:
     return both.withColumn("pass_rate_pct", rate.cast("decimal(5,1)"))
 
 
+def with_row_counts(bounds: dict[str, tuple[int, int]], suites: dict[str, list[Check]] = SUITES) -> dict[str, list[Check]]:
+    """The suites with other row-count bounds for some tables."""
+    return {
+        name: [row_count_between(*bounds[name]) if ck.kind == "row_count_between" and name in bounds else ck for ck in checks]
+        for name, checks in suites.items()
+    }
+
+
 class ValidationFailed(RuntimeError):
     pass
 
@@ -310,7 +315,7 @@ def gate(results: DataFrame) -> None:
     row = results.agg(F.count_if(F.col("status") == FAIL).alias("failed")).first()
     if row["failed"]:
         raise ValidationFailed(
-            f"VALIDATION FAILED — {row['failed']} expectations not met."
+            f"source checks failed: {row['failed']}; see the validation report"
         )
 
 
