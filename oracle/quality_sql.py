@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.ctes import with_ctes
-from riskforge.operators.quality import SCHEMA_TESTS, SUITES
+from oracle.declared import SCHEMA_TESTS, SUITES
 
 SRC = {
     "loan_portfolio": "src_loans",

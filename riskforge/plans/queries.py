@@ -11,7 +11,8 @@ from collections.abc import Callable
 from dataclasses import replace
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from riskforge.config import DEFAULT_STRESS
 from riskforge.operators import formulas, quality, reports
@@ -37,6 +38,18 @@ def _build_fn(fn: Callable[[Build], DataFrame], **kw) -> QueryFn:
     return run
 
 
+def _sorted_fn(fn: Callable[[Build], DataFrame]) -> QueryFn:
+    """A sorted report with the ``position`` at which each row comes out, so
+    that a comparison of row sets sees the order too."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        report = comparable(fn(Build.from_testdata(spark, sf_dir, audit=False)))
+        numbered = report.withColumn("_at", F.monotonically_increasing_id())  # rises along the sorted output
+        return numbered.withColumn("position", F.row_number().over(Window.orderBy("_at")).cast("bigint")).drop("_at")
+
+    return run
+
+
 # The default buffer (1e9) is never exceeded by test-size segments; a second
 # registration runs the same mart with a buffer that splits them.
 LOW_BUFFER = replace(DEFAULT_STRESS, capital_buffer=Decimal("50000"))
@@ -56,18 +69,18 @@ def registry() -> dict[str, QueryFn]:
         "ccar_stress_test_low_buffer": _model("ccar_stress_test", stress=LOW_BUFFER),
         "liquidity_coverage": _model("liquidity_coverage"),
         # analyst reports
-        "report_capital_summary": _build_fn(lambda b: reports.capital_summary(b.capital_adequacy)),
-        "report_rwa_by_class": _build_fn(lambda b: reports.rwa_by_class(b.basel3_rwa_report)),
-        "report_scenarios": _build_fn(lambda b: reports.scenario_comparison(b.ccar_stress_test)),
-        "report_sector_concentration": _build_fn(
+        "report_capital_summary": _sorted_fn(lambda b: reports.capital_summary(b.capital_adequacy)),
+        "report_rwa_by_class": _sorted_fn(lambda b: reports.rwa_by_class(b.basel3_rwa_report)),
+        "report_scenarios": _sorted_fn(lambda b: reports.scenario_comparison(b.ccar_stress_test)),
+        "report_sector_concentration": _sorted_fn(
             lambda b: reports.sector_concentration(b.basel3_rwa_report_by_sector)
         ),
-        "report_capital_trend": _build_fn(lambda b: reports.capital_trend(b.capital_adequacy)),
-        "report_watch_list": _build_fn(
+        "report_capital_trend": _sorted_fn(lambda b: reports.capital_trend(b.capital_adequacy)),
+        "report_watch_list": _sorted_fn(
             lambda b: reports.watch_list(b.enriched_table, b.stg_counterparties)
         ),
-        "report_liquidity": _build_fn(lambda b: reports.liquidity_summary(b.liquidity_coverage)),
-        "report_row_counts": _build_fn(lambda b: reports.row_counts(b.models())),
+        "report_liquidity": _sorted_fn(lambda b: reports.liquidity_summary(b.liquidity_coverage)),
+        "report_row_counts": _sorted_fn(lambda b: reports.row_counts(b.models())),
         # data-quality gate
         "dq_summary": _build_fn(lambda b: quality.summarize(quality.run_suites(b.raw, with_examples=False))),
         "schema_tests": _build_fn(lambda b: quality.run_schema_tests(b.schema_test_tables())),
