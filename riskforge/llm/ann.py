@@ -85,7 +85,7 @@ class Forest:
                     self.roots.append(me)
                 else:
                     children[parent][side] = me
-        self.planes = np.array(planes).reshape(-1, self.dim)
+        self.planes = np.array(planes, np.float64).reshape(len(planes), self.dim)
         self.offsets = np.array(offsets, np.float64)
         self.children = np.array(children, np.int64).reshape(-1, 2)
 

@@ -109,7 +109,7 @@ class Model:
                 root[c] = ~((base + to) * self.width)
             table = np.tile(root, (len(automaton), 1))
             for s, moves in enumerate(automaton):
-                if moves:
+                if moves and s:  # at the root, before a text and after a strange letter, any letter begins a phrase
                     table[s, list(moves)] = (base + np.fromiter(moves.values(), np.int64)) * self.width
             rows.append(table.astype(np.int32))
             self.roots.append(base * self.width)
@@ -136,12 +136,12 @@ class Model:
         order = np.argsort(-length, kind="stable")
         owner, begin, length = owner[order], begin[order], length[order]
         state = np.repeat(np.array(self.roots, np.int32)[:, None], len(owner), axis=1)
-        count = np.ones(state.shape, np.int32)
+        count = np.zeros(state.shape, np.int32)
         active = np.searchsorted(-length, -np.arange(STRETCH), "left")  # stretches longer than j
         for j in range(int(length[0])):
             m = int(active[j])
             to = self.table[state[:, :m] + flat[begin[:m] + j][None, :]]
-            end = to >> 31  # -1 where a phrase ends
+            end = to >> 31  # -1 where a phrase begins
             count[:, :m] -= end
             state[:, :m] = to ^ end
         for k in range(len(self.languages)):
