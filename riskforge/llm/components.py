@@ -27,7 +27,18 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         moved = near.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b"))
         )
-    return moved.filter(F.col("a") != F.col("b")).distinct()
+    moved = moved.filter(F.col("a") != F.col("b"))
+    return moved if large else moved.distinct()
+
+
+def near_labels(links: DataFrame) -> DataFrame:
+    """Links (a, b) -> (id, label): each linked node with the least of itself
+    and its neighbours, or that one's least neighbour. Nodes of one label are of
+    one component; a component may have several labels."""
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = cut(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")))
+    upper = least.select(F.col("a").alias("m"), F.col("m").alias("label"))
+    return least.join(upper, "m").select(F.col("a").alias("id"), "label")
 
 
 def components(links: DataFrame) -> DataFrame:

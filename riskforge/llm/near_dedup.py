@@ -8,19 +8,20 @@ between texts; every document gets its class.
    signature of 32 bands of 5 darts; two texts of similarity 0.8 share no band
    with a chance of 3 in a million.
 2. A band key held by several texts is a bucket. Every member is compared with
-   the bucket's least member; the links found are contracted to components.
-3. A bucket that still holds several components gets all its pairs across
-   components that their parity bitmaps (odd sketches) do not rule out: two
+   the bucket's least member; linked texts get the label of their least
+   neighbour or its least neighbour (two texts of one label are in one class).
+3. A bucket that still holds several labels gets all its pairs across
+   labels that their parity bitmaps (odd sketches) do not rule out: two
    texts have no fewer unshared shingles than their bitmaps have different
    bits, so nothing similar is lost and few others are left. Each pair is
    formed once, in the first band that its texts share. A
    bucket of more than ``WIDE`` members is dealt into finer ones: its pairs
    are formed where they share their second band too (and then their third).
    A pair at 0.8 shares one band only with a chance of 5 in 100,000;
-   homogeneous groups of copies, however large, are gone by then, as they are
-   one component after step 2.
+   homogeneous groups of copies, however large, are gone by then, as they
+   have one label after step 2.
 4. Every candidate pair is compared exactly on its whole shingle sets (32 bits
-   of each shingle's hash).
+   of each shingle's hash); the links' components are the classes.
 
 Pairs of copies are never expanded, nor are the pairs of a group of near
 copies: a group costs its size, not its square. Hot buckets are pre-aggregated
@@ -43,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskforge.llm.common import cut, spread, text_or_empty
-from riskforge.llm.components import components
+from riskforge.llm.components import components, near_labels
 from riskforge.llm.dart_minhash import BANDS, BATCH, bands, odd_sketches, shingles, signatures, similarity
 from riskforge.llm.words import buffer, groups
 
@@ -111,7 +112,7 @@ def _close(x: str, y: str):
 
 
 def _mixed(members: DataFrame, keys: list[str]) -> DataFrame:
-    """Members of the buckets that hold more than one component, with the size."""
+    """Members of the buckets that hold more than one label, with the size."""
     held = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("l0"), F.max("label").alias("l1"))
     return members.join(held.filter("l0 != l1").drop("l0", "l1"), keys)
 
@@ -136,8 +137,8 @@ def classes(docs: DataFrame) -> DataFrame:
     tested = cut(near.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct())
     links = _links(tested, sets)
 
-    # buckets that hold several components after this: all pairs across them
-    label = components(links)
+    # buckets that hold several groups after this: all pairs across them
+    label = near_labels(links)
     labelled = shared.select("band", "key", "id", "n").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
     left = cut(_mixed(labelled, ["band", "key"]).join(texts.select("id", "bands"), "id").join(sets.select("id", "odd"), "id"))
     across = [_across(left.filter(F.col("size") <= WIDE), ["band"])]
@@ -173,7 +174,7 @@ def _finer(members: DataFrame, last: str, band: str, key: str) -> DataFrame:
 
 
 def _across(members: DataFrame, levels: list[str]) -> DataFrame:
-    """Pairs (a, b) across components of a bucket, where ``levels`` are the
+    """Pairs (a, b) across labels of a bucket, where ``levels`` are the
     first bands that both share."""
     on = [c for level in levels for c in (level, level.replace("band", "key"))]
     a = members.select(*on, F.col("id").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("bands").alias("xs"), F.col("odd").alias("xo"))
