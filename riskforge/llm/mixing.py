@@ -202,18 +202,34 @@ def mix_documents(
 
 
 def mixed_rows(docs: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS, seed: str = SEED) -> DataFrame:
-    """The mix itself: every drawn copy as a row of ``docs`` with its shard and
-    block, blocks kept together and rows in seeded order inside them."""
+    """The mix itself: every drawn copy as a row of ``docs`` with its shard,
+    block and place in the shard's order (``mix_key``).
+
+    The draws are made on narrow rows; the documents are shuffled once, to meet
+    theirs by doc_id and the md5 of the text. Rows that share both are told
+    apart by a number."""
     plain = docs.select([c for c in docs.columns if c not in ("shard", "block", "mix_key")])
-    own = tuple(c for c in plain.columns if c != "doc_id")
-    renamed = plain.select("doc_id", "text", "source", *[F.col(c).alias(f"k_{c}") for c in own])
-    out = mix_documents(renamed, shards, blocks, seed, tuple(f"k_{c}" for c in own))
-    drawn = out.withColumn("draw", F.explode("draws")).select(
-        "doc_id", *[F.col(f"k_{c}").alias(c) for c in own], "draw.shard", "draw.block", "draw.mix_key"
-    )
-    return (
-        drawn.repartition("shard", "block").sortWithinPartitions("shard", "block", "mix_key").select(*plain.columns, "shard", "block", "mix_key")
-    )
+    key = F.md5(text_or_empty().cast("binary"))
+    narrow = plain.select("doc_id", "text", "source", key.alias("m_t"))
+    drawn = cut(mix_documents(narrow, shards, blocks, seed, ("m_t",)).select("doc_id", "m_t", "draws"))
+    named = plain.withColumn("m_t", key)
+    on = named["m_t"] == F.col("d_t")
+    if drawn.groupBy("doc_id", "m_t").count().filter("count > 1").limit(1).count():
+        number = lambda *order: F.row_number().over(W.partitionBy("doc_id", "m_t").orderBy(*order))
+        drawn = drawn.withColumn("d_n", number("draws"))
+        others = [c for c in plain.columns if c not in ("doc_id", "text")]
+        named = named.withColumn("m_n", number(F.xxhash64(*others)) if others else number("m_t"))
+        on = (named["m_t"] == F.col("d_t")) & (named["m_n"] == F.col("d_n"))
+    else:
+        drawn = drawn.withColumn("d_n", F.lit(1))
+    drawn = drawn.filter(F.size("draws") > 0).select(F.col("doc_id").alias("d_id"), F.col("m_t").alias("d_t"), "d_n", "draws")
+    met = named.join(drawn, on & named["doc_id"].eqNullSafe(F.col("d_id")))
+    return met.withColumn("draw", F.explode("draws")).select(*[named[c] for c in plain.columns], "draw.shard", "draw.block", "draw.mix_key")
+
+
+def in_order(mix: DataFrame) -> DataFrame:
+    """A mix as it is written: blocks of a shard together, in seeded order."""
+    return mix.repartition("shard", "block").sortWithinPartitions("shard", "block", "mix_key")
 
 
 def digest(docs: DataFrame) -> DataFrame:
