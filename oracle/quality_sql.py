@@ -102,6 +102,23 @@ def dq_suite(name: str) -> str:
     return f"{head},\n{agg}\n{body}"
 
 
+def text_numerics() -> str:
+    """Numbers given as text, where ratings NR and CCC stand for text that is none."""
+    is_number = "internal_rating NOT IN ('NR', 'CCC')"
+    rows = [
+        ("positive(exposure_amount)", "exposure_amount <= 0", 0.0, "Non-positive pct: ", "%"),
+        ("between(pd_estimate, 0, 0.2)", "pd_estimate < 0 OR pd_estimate > 0.2", 0.0, "Out-of-range pct: ", "% (max allowed: 0.0%)"),
+        ("outstanding_balance_less_than_committed_amount", "outstanding_balance >= committed_amount", 5.0, "Violation pct: ", "%"),
+    ]
+    parts = [
+        f"""SELECT 'text_numerics' AS suite, CAST({i} AS BIGINT) AS check_no, {lit(name)} AS "check", {within('m', limit)} AS status,
+            {lit(before)} || {pct_text('m')} || {lit(after)} AS detail
+          FROM (SELECT count(*) AS n, count(*) FILTER (WHERE {is_number} AND coalesce({bad}, false)) AS m FROM src_loans) a{i}"""
+        for i, (name, bad, limit, before, after) in enumerate(rows, start=1)
+    ]
+    return with_ctes("\nUNION ALL\n".join(parts), ("src_loans",))
+
+
 def dq_summary() -> str:
     aggs, bodies = [], []
     for name in SUITES:
@@ -159,5 +176,6 @@ def schema_tests() -> str:
 def registry() -> dict[str, str]:
     out = {f"dq_{n}": dq_suite(n) for n in SUITES}
     out["dq_summary"] = dq_summary()
+    out["dq_text_numerics"] = text_numerics()
     out["schema_tests"] = schema_tests()
     return out

@@ -85,6 +85,7 @@ def registry() -> dict[str, str]:
         "report_liquidity": with_ctes(final("r_liquidity", (
             "lcr", "nsfr", "lcr_headroom", "nsfr_headroom")), ("r_liquidity",)),
         "report_row_counts": with_ctes(final("r_row_counts", (), ("row_count",)), ("r_row_counts",)),
+        "raw_csv_roundtrip": with_ctes(final("src_loans", LOAN_D, dates=LOAN_DATES), ("src_loans",)),
         "rwa_standardized": with_ctes(final("f_rwa_std", RWA_D), ("f_rwa_std",)),
         "capital_ratios": with_ctes(final("f_capital_ratios", (
             "total_capital_calc", "cet1_ratio_calc", "tier1_ratio_calc", "total_capital_ratio_calc")),

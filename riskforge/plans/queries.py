@@ -7,6 +7,7 @@ dropped, decimals as DOUBLE).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from decimal import Decimal
@@ -18,6 +19,8 @@ from riskforge.config import DEFAULT_STRESS
 from riskforge.operators import formulas, quality, reports
 from riskforge.plans.build import Build
 from riskforge.plans.compare import comparable
+from riskforge.session import warehouse_path
+from riskforge.sources.raw import load
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +58,27 @@ def _sorted_fn(fn: Callable[[Build], DataFrame]) -> QueryFn:
 LOW_BUFFER = replace(DEFAULT_STRESS, capital_buffer=Decimal("50000"))
 
 
+def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loans written as CSV and read back through the raw schema."""
+    loans = Build.from_testdata(spark, sf_dir, audit=False).raw["loan_portfolio"]
+    path = warehouse_path(spark, f"csv/{uuid.uuid4().hex}")
+    loans.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    return comparable(load(spark, "loan_portfolio", path, "csv"))
+
+
+def _text_numerics(b: Build) -> DataFrame:
+    """Numeric checks on a table whose numbers are text, some of it none."""
+    rating = F.col("internal_rating")
+    shown = lambda c: F.when(rating == "NR", "NaN").when(rating == "CCC", "n/a").otherwise(F.col(c).cast("string"))
+    names = ("exposure_amount", "pd_estimate", "outstanding_balance", "committed_amount")
+    checks = [
+        quality.positive("exposure_amount"),
+        quality.between("pd_estimate", 0, 0.2),
+        quality.a_less_than_b("outstanding_balance", "committed_amount", threshold=5.0),
+    ]
+    return quality.run_suite("text_numerics", b.raw["loan_portfolio"].select(*[shown(c).alias(c) for c in names]), checks)
+
+
 def registry() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {
         "stg_loan_portfolio": _model("stg_loan_portfolio"),
@@ -86,6 +110,8 @@ def registry() -> dict[str, QueryFn]:
         "schema_tests": _build_fn(lambda b: quality.run_schema_tests(b.schema_test_tables())),
     }
     q.update({
+        "raw_csv_roundtrip": _csv_roundtrip,
+        "dq_text_numerics": _build_fn(_text_numerics),
         # business formulas and macros
         "rwa_standardized": _build_fn(lambda b: formulas.rwa_standardized(b.stg_loan_portfolio)),
         "capital_ratios": _build_fn(lambda b: formulas.capital_ratios(b.stg_capital_components)),
