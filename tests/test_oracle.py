@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as E
+from oracle import queries as oracle_queries
 from oracle.compare import compare, connect
+from riskforge.plans.queries import registry
 from tests.conftest import SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = registry()
+ORACLE = oracle_queries.registry()
 
 
 @pytest.fixture(scope="module")
