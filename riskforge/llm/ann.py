@@ -1,24 +1,29 @@
 """Approximate nearest neighbours by a forest of random-projection trees
 (operator 1).
 
-Index. Trees are fitted on a bounded sample (``SAMPLE`` rows with the least
-seeded key): a node splits its rows by the hyperplane halfway between two
+Copies. Equal vectors are one item with its k + 1 least vec_ids: copies are
+equally far from every query and ties go to the smaller vec_id, so no further
+copy is ever among the k nearest, also when a query leaves out its own id. A
+very common vector thus has no more weight in the search than any other.
+
+Index. Trees are fitted on a bounded sample (``SAMPLE`` items with the least
+seeded key): a node splits its items by the hyperplane halfway between two
 of them, at the median of the projections, down to leaves of about
-``LEAF`` sample rows. All rows of the table are then put into a leaf of every
+``LEAF`` sample items. All items of the table are then put into a leaf of every
 tree.
 
 Search. A query walks all trees through one shared priority queue, ordered by
 how far it is on the wrong side of the worst hyperplane on the way, and takes
-leaves until they hold ``SHARE`` of the rows (``LEAST`` in a small table),
-counting a row once for each tree it is found in. The leaves' true sizes are used, so the work
+leaves until they hold ``SHARE`` of the items (``LEAST`` in a small table),
+counting an item once for each tree it is found in. The leaves' true sizes are used, so the work
 follows the data and not the sample.
 
-Rerank. Rows and queries meet at their leaves. Each task computes the exact
-distances of a leaf's rows (double precision, on the original vectors) to
-the queries that took the leaf and keeps the best k of each; the final k are
-the best of those, ties to the smaller vec_id. A leaf of many rows is dealt
-over several tasks, so a hot leaf (a very common vector) is not one task; its
-queries go to each of them.
+Rerank. Items and queries meet at their leaves. Each task computes the exact
+distances of a leaf's items (double precision, on the original vectors) to
+the queries that took the leaf and keeps the best k vec_ids of each; the final
+k are the best of those, ties to the smaller vec_id. A leaf of many items is
+dealt over several tasks, so a hot leaf is not one task; its queries go to each
+of them.
 
 What goes to all tasks is the forest: at most 2 * SAMPLE / LEAF nodes for each
 tree, whatever the input.
@@ -29,9 +34,9 @@ few per cent are enough. Recall against brute force is measured in the tests.
 
 Edge cases: null vectors and vectors that are zero, hold null or non-finite
 components or differ in length from the most common length take no part; null
-ids take no part; repeated rows are candidates on their own (a query leaves
-out rows of its own id); fewer rows than k give as many; an empty table gives
-an empty result; further columns are ignored.
+ids take no part; rows of one vec_id are one candidate, at the least of their
+distances (a query leaves out rows of its own id); fewer rows than k give as
+many; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -152,16 +157,41 @@ def usable(vectors: DataFrame) -> DataFrame:
     return sound.filter(F.size("embedding") == (common.n if common else 0))
 
 
+def distinct_vectors(rows: DataFrame, most: int) -> DataFrame:
+    """(vec_id, embedding) -> (embedding, vec_ids): the ``most`` least vec_ids of
+    each vector, ascending. The limit is applied before the shuffle by vector,
+    so a common vector brings no more than ``most`` rows from a task."""
+    least = W.partitionBy("embedding").orderBy("vec_id")
+    few = rows.distinct().withColumn("n", F.row_number().over(least)).filter(F.col("n") <= most)
+    return few.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("vec_ids"))
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
+def _nearest_ids(ids: np.ndarray, d: np.ndarray, k: int) -> np.ndarray:
+    """Rows of the k nearest different ids, ties to the smaller id."""
+    most = k
+    while True:
+        # everything not farther than the bound, so that ties are settled by id
+        bound = np.partition(d, min(most, len(d)) - 1)[min(most, len(d)) - 1]
+        near = np.flatnonzero((d <= bound) & np.isfinite(d))
+        near = near[np.lexsort((ids[near], d[near]))]
+        near = near[np.sort(np.unique(ids[near], return_index=True)[1])]  # the nearest row of each id
+        if len(near) >= k or most >= len(d):
+            return near[:k]
+        most *= 2
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, trees: int = TREES, share: float = SHARE, sample: int = SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest rows found for every query."""
     spark = vectors.sparkSession
     rows = usable(vectors)
-    key = F.md5(F.concat(F.lit("ann|"), F.col("vec_id").cast("string")).cast("binary"))
-    fitted = rows.orderBy(key, "vec_id").limit(sample).select("embedding").collect()
+    items = cut(distinct_vectors(rows, k + 1))
+    first = F.col("vec_ids")[0]
+    key = F.md5(F.concat(F.lit("ann|"), first.cast("string")).cast("binary"))
+    fitted = items.orderBy(key, first, "embedding").limit(sample).select("embedding").collect()
     x = np.array([r.embedding for r in fitted], np.float64)
     forest = Forest(x, trees) if len(x) else Forest(np.zeros((0, 0)), trees)
     sent = spark.sparkContext.broadcast(forest)
@@ -173,9 +203,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, trees: int = TRE
                 leaves = own.leaves_of(_matrix(batch.column("embedding"), own.dim))
                 at = np.arange(0, leaves.size + 1, leaves.shape[1], dtype=np.int32)
                 column = pa.ListArray.from_arrays(pa.array(at), pa.array(leaves.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("embedding"), column], ["vec_id", "embedding", "leaves"])
+                yield pa.RecordBatch.from_arrays([batch.column("vec_ids"), batch.column("embedding"), column], ["vec_ids", "embedding", "leaves"])
 
-    placed = cut(spread(rows).mapInArrow(place, "vec_id bigint, embedding array<double>, leaves array<bigint>"))
+    placed = cut(spread(items).mapInArrow(place, "vec_ids array<bigint>, embedding array<double>, leaves array<bigint>"))
     counts = placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect()  # one row for each leaf
     sizes = np.zeros(forest.leaves, np.int64)
     for r in counts:
@@ -202,25 +232,23 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, trees: int = TRE
     ids = queries.filter("vec_id is not null").select(F.col("vec_id").cast("bigint").alias("vec_id")).distinct()
     asked = rows.join(ids, "vec_id", "left_semi").dropDuplicates(["vec_id"])
     visits = asked.mapInArrow(walk, "leaf bigint, part bigint, query_id bigint, embedding array<double>")
-    held = placed.select("vec_id", "embedding", F.explode("leaves").alias("leaf"))
+    held = placed.select("vec_ids", "embedding", F.explode("leaves").alias("leaf"))
     wide = [(int(leaf), int(shares[leaf])) for leaf in np.flatnonzero(shares > 1)]
     if wide:  # at most one row for each leaf
         held = held.join(F.broadcast(spark.createDataFrame(wide, "leaf bigint, parts bigint")), "leaf", "left")
     parts_of = F.coalesce(F.col("parts"), F.lit(1)) if wide else F.lit(1)
-    held = held.withColumn("part", F.pmod(F.xxhash64("vec_id"), parts_of).cast("bigint")).select("vec_id", "embedding", "leaf", "part")
+    held = held.withColumn("part", F.pmod(F.xxhash64("embedding"), parts_of).cast("bigint")).select("vec_ids", "embedding", "leaf", "part")
 
     def rerank(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
         a = np.stack(left["embedding"].to_numpy()).astype(np.float64)
-        ids, out = left["vec_id"].to_numpy(), []
+        lists = left["vec_ids"].to_numpy()
+        ids, item, out = np.concatenate(lists), np.repeat(np.arange(len(a)), [len(x) for x in lists]), []
         for q, vector in zip(right["query_id"].to_numpy(), right["embedding"].to_numpy()):
-            d = np.sqrt(((a - np.asarray(vector, np.float64)) ** 2).sum(axis=1))
+            d = np.sqrt(((a - np.asarray(vector, np.float64)) ** 2).sum(axis=1))[item]
             d[ids == q] = np.inf
-            # everything not farther than the k-th, so that ties are settled by vec_id
-            bound = np.partition(d, min(k, len(d)) - 1)[min(k, len(d)) - 1]
-            near = np.flatnonzero((d <= bound) & np.isfinite(d))
-            near = near[np.lexsort((ids[near], d[near]))][:k]
+            near = _nearest_ids(ids, d, k)
             out.append(pd.DataFrame({"query_id": np.full(len(near), q), "vec_id": ids[near], "score": d[near]}))
         return pd.concat(out)
 

@@ -249,3 +249,26 @@ def test_wide_leaves_are_dealt_over_tasks(spark, monkeypatch):
     ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
     for r in ann.digest(vectors).collect():
         assert (r.vec_id, r.score) == exact(ids, x, r.query_id)[r["rank"] - 1]
+
+
+def recall(spark, x, queries=100):
+    """Mean share of the true ten nearest that are found, over every 1/queries-th row."""
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    step = len(x) // queries
+    found = {}
+    for r in ann.nearest(vectors, vectors.filter(F.col("vec_id") % step == 0)).collect():
+        found.setdefault(r.query_id, set()).add((r.vec_id, r.score))
+    ids = np.arange(len(x))
+    return {q: len(found[q] & set(exact(ids, x, q))) / 10 for q in range(0, len(x), step)}
+
+
+def test_recall_with_a_third_of_rows_equal(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(12_000, 64))
+    common = rng.permutation(len(x))[:4_000]
+    x[common] = x[common[0]]
+    assert ann.SHARE * 8_001 > ann.LEAST
+    got = recall(spark, x)
+    assert all(got[q] == 1 for q in got if q in set(common.tolist()))
+    assert np.mean([got[q] for q in got if q not in set(common.tolist())]) >= 0.9
