@@ -15,11 +15,11 @@ between texts; every document gets its class.
    texts have no fewer unshared shingles than their bitmaps have different
    bits, so nothing similar is lost and few others are left. Each pair is
    formed once, in the first band that its texts share. A
-   bucket of more than ``WIDE`` members is dealt into finer ones: its pairs
-   are formed where they share their second band too (and then their third).
-   A pair at 0.8 shares one band only with a chance of 5 in 100,000;
-   homogeneous groups of copies, however large, are gone by then, as they
-   have one label after step 2.
+   bucket of more than ``WIDE`` members is dealt into blocks of about that many
+   and block meets block, each two in a group of their own: every pair is
+   formed, in tasks of bounded size. A label of more than ``WIDE`` members has
+   its own blocks, which do not meet each other; homogeneous groups of copies,
+   however large, are gone by then, as they have one label after step 2.
 4. Every candidate pair is compared exactly on its whole shingle sets (32 bits
    of each shingle's hash); the links' components are the classes.
 
@@ -40,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -141,16 +142,10 @@ def classes(docs: DataFrame) -> DataFrame:
     label = near_labels(links)
     labelled = shared.select("band", "key", "id", "n").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
     left = cut(_mixed(labelled, ["band", "key"]).join(texts.select("id", "bands"), "id").join(sets.select("id", "odd"), "id"))
-    across = [_across(left.filter(F.col("size") <= WIDE), ["band"])]
+    more = _across(left.filter(F.col("size") <= WIDE))
     wide = left.filter(F.col("size") > WIDE).drop("size")
     if wide.limit(1).count():
-        finer = cut(_mixed(_finer(wide, "band", "band2", "key2"), ["band", "key", "band2", "key2"]))
-        across.append(_across(finer.filter(F.col("size") <= WIDE), ["band", "band2"]))
-        finest = _finer(finer.filter(F.col("size") > WIDE).drop("size"), "band2", "band3", "key3")
-        across.append(_across(finest, ["band", "band2", "band3"]))
-    more = across[0]
-    for x in across[1:]:
-        more = more.unionByName(x)
+        more = more.unionByName(_across_blocks(wide))
     links = cut(links.unionByName(_links(more.join(tested, ["a", "b"], "left_anti"), sets)))
 
     label = components(links)
@@ -168,25 +163,98 @@ def classes(docs: DataFrame) -> DataFrame:
     return texts_of.select("doc_id", "t").join(of_text, "t")
 
 
-def _finer(members: DataFrame, last: str, band: str, key: str) -> DataFrame:
-    """Members once for each of their further bands."""
-    return members.select("*", F.posexplode("bands").alias(band, key)).filter(F.col(band) > F.col(last))
-
-
-def _across(members: DataFrame, levels: list[str]) -> DataFrame:
-    """Pairs (a, b) across labels of a bucket, where ``levels`` are the
-    first bands that both share."""
-    on = [c for level in levels for c in (level, level.replace("band", "key"))]
+def _across(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) across labels of a bucket, where it is the first that both share."""
+    on = ["band", "key"]
     a = members.select(*on, F.col("id").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("bands").alias("xs"), F.col("odd").alias("xo"))
     b = members.select(*on, F.col("id").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("bands").alias("ys"), F.col("odd").alias("yo"))
     same = F.zip_with("xs", "ys", lambda x, y: x == y)
-    common = F.filter(F.transform(same, lambda x, i: F.when(x, i).otherwise(-1)), lambda i: i >= 0)
-    first = F.slice(common, 1, len(levels)) == F.array(*levels)
+    first = F.array_position(same, True) == F.col("band") + 1
     apart = F.col("la") != F.col("lb")
     pairs = a.join(b, on).filter((F.col("a") < F.col("b")) & apart & _close("na", "nb") & first & _may_be_similar())
     return pairs.select("a", "b")
 
 
+def _across_blocks(members: DataFrame) -> DataFrame:
+    """The pairs of ``_across`` for buckets of any size: members are dealt to
+    blocks of about ``WIDE``, and every two blocks of a bucket that can hold
+    different labels are a group of their own."""
+    bucket = ["band", "key"]
+    held = members.groupBy(*bucket, "label").agg(F.count(F.lit(1)).alias("c"))
+    # a label of many members has blocks of its own, the others share theirs
+    owned = cut(held.withColumn("owner", F.when(F.col("c") > WIDE, F.col("label")).otherwise(-1)))
+    parts = cut(owned.groupBy(*bucket, "owner").agg(F.ceil(F.sum("c") / WIDE).cast("int").alias("parts")))
+    placed = (
+        members.join(owned.drop("c"), [*bucket, "label"])
+        .join(parts, [*bucket, "owner"])
+        .withColumn("block", F.struct("owner", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")))
+    )
+    blocks = parts.select(*bucket, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "owner")
+    one = blocks.select(*bucket, F.struct("owner", "part").alias("x"))
+    other = blocks.select(*bucket, F.struct("owner", "part").alias("y"))
+    alone = (F.col("x.owner") == F.col("y.owner")) & (F.col("x.owner") >= 0)
+    met = cut(one.join(other, bucket).filter((F.col("x") <= F.col("y")) & ~alone))
+    columns = [*bucket, "x", "y", "id", "n", "label", "bands", "odd"]
+    left = placed.withColumnRenamed("block", "x").join(met, [*bucket, "x"]).select(*columns, F.lit(0).alias("side"))
+    right = placed.withColumnRenamed("block", "y").join(met.filter("x != y"), [*bucket, "y"]).select(*columns, F.lit(1).alias("side"))
+    flat = [F.col("x.owner").alias("xo"), F.col("x.part").alias("xp"), F.col("y.owner").alias("yo"), F.col("y.part").alias("yp")]
+    both = left.unionByName(right).select(*flat, *[c for c in columns if c not in ("x", "y")], "side")
+    return both.groupBy(*bucket, "xo", "xp", "yo", "yp").applyInArrow(_block_pairs, "a bigint, b bigint")
+
+
+def _block_pairs(table: pa.Table) -> pa.Table:
+    """Pairs of the members of side 0 with those of side 1, or of side 0 among
+    themselves, by the conditions of ``_across``."""
+    side, band = table["side"].to_numpy(), table["band"][0].as_py()
+    ids, n, label = (table[c].to_numpy() for c in ("id", "n", "label"))
+    keys = pa.compute.list_flatten(table["bands"]).to_numpy().reshape(len(ids), BANDS)
+    words = pa.compute.list_value_length(table["odd"]).to_numpy()
+    flat, first = pa.compute.list_flatten(table["odd"]).to_numpy().view(np.uint64), np.concatenate([[0], np.cumsum(words)])
+    rows, others = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    within = all(table[x][0] == table[y][0] for x, y in (("xo", "yo"), ("xp", "yp")))
+    if within:
+        others = rows
+    bitmaps: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for w in np.unique(words):  # bitmaps of one size, and where each member's is
+        at = np.flatnonzero(words == w)
+        place = np.zeros(len(ids), np.int64)
+        place[at] = np.arange(len(at))
+        bitmaps[int(w)] = flat[first[at][:, None] + np.arange(w)], place
+
+    def folded(of: np.ndarray, w: int, to: int) -> np.ndarray:
+        bits = bitmaps[w][0][bitmaps[w][1][of]]
+        while w > to:
+            w //= 2
+            bits = bits[:, :w] ^ bits[:, w:]
+        return bits
+
+    out_a, out_b = [], []
+    for lo in range(0, len(rows), 64):
+        mine = rows[lo : lo + 64]
+        fits = label[mine][:, None] != label[others]
+        fits &= np.minimum(n[mine][:, None], n[others]) >= np.maximum(n[mine][:, None], n[others]) * THRESHOLD
+        if within:
+            fits &= ids[mine][:, None] < ids[others]
+        for k in range(band):  # met in an earlier band
+            fits &= keys[mine, k][:, None] != keys[others, k]
+        i, j = np.nonzero(fits)
+        i, j = mine[i], others[j]
+        most = (n[i] + n[j]) * ((1 - THRESHOLD) / (1 + THRESHOLD)) + 1e-6
+        near = np.zeros(len(i), bool)
+        for p in bitmaps:
+            for q in bitmaps:
+                some = np.flatnonzero((words[i] == p) & (words[j] == q))
+                to, step = min(p, q), max(1, CHUNK // 8 // max(p, q))
+                for s in range(0, len(some), step):
+                    at = some[s : s + step]
+                    unlike = np.bitwise_count(folded(i[at], p, to) ^ folded(j[at], q, to)).sum(axis=1, dtype=np.int64)
+                    near[at] = unlike <= most[at]
+        out_a.append(np.minimum(ids[i[near]], ids[j[near]]))
+        out_b.append(np.maximum(ids[i[near]], ids[j[near]]))
+    joined = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (out_a, out_b)]
+    return pa.Table.from_arrays(joined, ["a", "b"])
+
+
 def _may_be_similar():
     """Bitmaps xo, yo of sets of na, nb shingles allow the threshold. Sets of
     similarity s leave (1 - s) / (1 + s) of all their shingles unshared."""

@@ -142,6 +142,38 @@ def test_wide_buckets(spark, monkeypatch):
     assert {r.doc_id: r.class_id for r in N.digest(docs).collect()} == want
 
 
+def test_wide_buckets_keep_pairs_that_share_one_band(spark, monkeypatch):
+    """All texts meet in one band and share no other: a bucket above WIDE still
+    gives the classes of all pairs, with bitmaps of two sizes and a large label."""
+    rng = random.Random(9)
+    rows = []
+    for words, copies in ((150, 40), (131, 30), (60, 12)):
+        base = cases.prose(rng, words, "lo ra mi ten dus ke").split()
+        for k in range(copies):
+            w = list(base)
+            for at in rng.sample(range(words), rng.choice([1, 2, 3, 4])):
+                w[at] = f"z{words}q{k}q{at}"
+            rows.append((len(rows), " ".join(w[: words - rng.randrange(5)])))
+    rows += [(len(rows) + k, cases.prose(rng, 100 + k, "sch ung ket zwi")) for k in range(20)]
+    real = N._sign
+
+    def one_band(batches):
+        for batch in real(batches):
+            keys = batch.column("bands").flatten().to_numpy().reshape(-1, BANDS).copy()
+            own = np.array([int(t[:14], 16) for t in batch.column("t").to_pylist()], np.int64)
+            keys[:, 0], keys[:, 1:] = 7, own[:, None] + np.arange(1, BANDS)
+            at = pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32))
+            columns = [batch.column("t"), batch.column("n"), pa.ListArray.from_arrays(at, pa.array(keys.ravel()))]
+            yield pa.RecordBatch.from_arrays(columns, ["t", "n", "bands"])
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {i: c for (i, _), c in expected(rows).items()}
+    assert 20 < len(set(want.values())) < len(rows)
+    monkeypatch.setattr(N, "_sign", one_band)
+    monkeypatch.setattr(N, "WIDE", 7)
+    assert {r.doc_id: r.class_id for r in N.digest(docs).collect()} == want
+
+
 def test_deduplicate_keeps_rows_as_they_are(spark):
     docs = cases.documents(spark)
     out = N.deduplicate(docs)
