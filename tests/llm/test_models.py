@@ -272,3 +272,14 @@ def test_recall_with_a_third_of_rows_equal(spark):
     got = recall(spark, x)
     assert all(got[q] == 1 for q in got if q in set(common.tolist()))
     assert np.mean([got[q] for q in got if q not in set(common.tolist())]) >= 0.9
+
+
+@pytest.mark.parametrize("clusters", [0, 50])
+def test_recall_at_the_production_share(spark, clusters):
+    """Above LEAST / SHARE rows, where a search is bounded by SHARE."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(9_000, 64))
+    if clusters:
+        x = 0.25 * x + rng.normal(size=(clusters, 64))[rng.integers(0, clusters, len(x))]
+    assert ann.SHARE * len(x) > ann.LEAST
+    assert np.mean(list(recall(spark, x).values())) >= 0.9
