@@ -154,3 +154,19 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+PASSAGES = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+windows AS (
+  SELECT r, k, md5(array_to_string(w[k + 1 : k + 35], ' ')) AS win FROM d, unnest(range(greatest(0, len(w) - 34))) u(k)
+),
+repeated AS (SELECT win FROM windows GROUP BY win HAVING count(*) > 1),
+gone AS (
+  SELECT r, list(DISTINCT k + j) AS places FROM windows JOIN repeated USING (win), unnest(range(1, 36)) v(j) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(places, []), i)), ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (r)
+"""
