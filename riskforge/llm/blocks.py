@@ -29,7 +29,7 @@ from riskforge.llm.words import buffer, groups
 
 #: Bytes of text of a block; a longer text is a block of its own.
 BLOCK = 1 << 20
-STRIPE = 1 << 24
+STRIPE = 1 << 22
 SECTION = 1 << 32
 
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskforge.llm import ann, decontamination, html_extraction, language_id, mixing, near_dedup, pii, quality, sharding, substring_dedup, token_output
+from riskforge.llm import ann, collocations, decontamination, html_extraction, language_id, mixing, near_dedup, pii, quality, sharding, substring_dedup, token_output
 from riskforge.llm.common import table
-from riskforge.llm.sql import DECONTAMINATION, MIXING, PASSAGES, SHARDING
+from riskforge.llm.sql import COLLOCATIONS, DECONTAMINATION, MIXING, PASSAGES, SHARDING
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -25,9 +25,10 @@ def registry() -> dict[str, QueryFn]:
         "op8_token_output": lambda s, d: token_output.digest(s, table(s, d, "documents")),
         "op9_pii": lambda s, d: pii.digest(table(s, d, "documents")),
         "op10_sharding": lambda s, d: sharding.digest(table(s, d, "documents")),
+        "op11_collocations": lambda s, d: collocations.digest(table(s, d, "documents")),
         "op12_substring_dedup": lambda s, d: substring_dedup.digest(table(s, d, "documents")),
     }
 
 
 def oracle() -> dict[str, str]:
-    return {"op4_decontamination": DECONTAMINATION, "op5_mixing": MIXING, "op10_sharding": SHARDING, "op12_substring_dedup": PASSAGES}
+    return {"op4_decontamination": DECONTAMINATION, "op5_mixing": MIXING, "op10_sharding": SHARDING, "op11_collocations": COLLOCATIONS, "op12_substring_dedup": PASSAGES}

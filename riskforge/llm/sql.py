@@ -170,3 +170,49 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_
   sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(places, []), i)), ' ')) AS kept_sha256
 FROM d LEFT JOIN gone USING (r)
 """
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+one AS (
+  SELECT lang, x, count(*)::HUGEINT AS f FROM (SELECT lang, unnest(w) AS x FROM w) GROUP BY ALL
+),
+two AS (
+  SELECT lang, x, y, count(*)::HUGEINT AS f FROM (SELECT lang, unnest(w[1 : len(w) - 1]) AS x, unnest(w[2 : len(w)]) AS y FROM w WHERE len(w) >= 2)
+  GROUP BY ALL HAVING count(*) >= 10
+),
+three AS (
+  SELECT lang, x, y, z, count(*)::HUGEINT AS f
+  FROM (SELECT lang, unnest(w[1 : len(w) - 2]) AS x, unnest(w[2 : len(w) - 1]) AS y, unnest(w[3 : len(w)]) AS z FROM w WHERE len(w) >= 3)
+  GROUP BY ALL HAVING count(*) >= 10
+),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM one GROUP BY lang),
+longer AS (
+  SELECT lang, x, y, max(f) AS f FROM (SELECT lang, x, y, f FROM three UNION ALL SELECT lang, y AS x, z AS y, f FROM three) GROUP BY ALL
+),
+pairs AS (
+  SELECT t.lang, t.x || ' ' || t.y AS phrase, t.f AS a, l.f AS l, r.f AS r, t.f * t.f * 1000000 // (l.f * r.f) AS score
+  FROM two t JOIN one l ON l.lang = t.lang AND l.x = t.x JOIN one r ON r.lang = t.lang AND r.x = t.y
+  LEFT JOIN longer i ON i.lang = t.lang AND i.x = t.x AND i.y = t.y
+  WHERE coalesce(100 * i.f < 50 * t.f, true)
+),
+cuts AS (
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z AS phrase, t.f AS a, l1.f AS l1, r1.f AS r1, l2.f AS l2, r2.f AS r2,
+    t.f * t.f * 1000000 // (l1.f * r1.f) AS s1, t.f * t.f * 1000000 // (l2.f * r2.f) AS s2
+  FROM three t JOIN one l1 ON l1.lang = t.lang AND l1.x = t.x JOIN two r1 ON r1.lang = t.lang AND r1.x = t.y AND r1.y = t.z
+  JOIN two l2 ON l2.lang = t.lang AND l2.x = t.x AND l2.y = t.y JOIN one r2 ON r2.lang = t.lang AND r2.x = t.z
+),
+phrases AS (
+  SELECT * FROM pairs UNION ALL
+  SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2) FROM cuts
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM phrases
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""

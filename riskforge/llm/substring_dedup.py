@@ -42,9 +42,9 @@ from riskforge.llm.common import stored
 from riskforge.llm.words import _power, find, mix64
 
 LENGTH = 35
-#: Counters of a row of a sketch, for about 200,000 anchors (``STRIPE`` bytes of
+#: Counters of a row of a sketch, for about 50,000 anchors (``STRIPE`` bytes of
 #: text): estimates are too high for about one anchor in a hundred.
-CELLS = 1 << 21
+CELLS = 1 << 19
 
 _READ = np.arange(1, 257, dtype=np.uint16)
 _KINDS = np.ones(256, np.uint8)
