@@ -51,7 +51,7 @@ LEAST = 10
 TOP = 2000
 SHARE = 8  # one document in so many is sampled
 BITS = 1 << 26
-CHUNK = 1 << 22
+CHUNK = 1 << 21
 
 _LOWER = np.arange(256, dtype=np.uint16)
 _LOWER[65:91] += 32

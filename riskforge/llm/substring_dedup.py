@@ -88,7 +88,7 @@ class Windows:
         place = (least[self.starts] & low).astype(np.int64)
         new = np.ones(len(place), bool)
         new[1:] = place[1:] != place[:-1]
-        return grams[place[new]], np.cumsum(new) - 1
+        return mix64(grams[place[new]]), np.cumsum(new) - 1  # mixed anew, as the least of many hashes are small
 
     def candidates(self, told: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Anchor, hash and start of the windows under these anchors, by anchor and hash."""
