@@ -12,7 +12,9 @@ library whole.
 from __future__ import annotations
 
 import json
+import os
 from functools import cache
+from itertools import chain
 
 import numpy as np
 
@@ -24,10 +26,11 @@ REMEMBERED = 300_000
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain_text: bool = False):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = plain_text
         with open(path, encoding="utf-8") as f:
             rule = json.load(f)
         pre = rule.get("pre_tokenizer") or {}
@@ -37,7 +40,7 @@ class Encoder:
             and not pre.get("add_prefix_space")
             and pre.get("use_regex", True)
         )
-        self.added = [t["content"] for t in rule.get("added_tokens", [])]
+        self.added = [t["content"] for t in rule.get("added_tokens", []) if not (plain_text and t.get("special"))]
         self.classes = np.full(0x110000, _UNSEEN, np.uint8)
         self._forget()
 
@@ -143,7 +146,7 @@ class Encoder:
     def _learn(self, values: np.ndarray, pieces: list[str]) -> None:
         lists = [e.ids for e in self.library.encode_batch(pieces, add_special_tokens=False)]
         sizes = np.array([len(x) for x in lists], np.int64)
-        flat = np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum()))
+        flat = np.array(list(chain.from_iterable(lists)), np.uint32)
         begin = len(self.ids) + np.cumsum(sizes) - sizes
         slot = np.concatenate([self.slot, len(self.begin) + np.arange(len(sizes))])
         known = np.concatenate([self.known, values])
@@ -154,6 +157,9 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
-    """One encoder for each file and worker."""
-    return Encoder(path)
+def encoder(path: str, plain_text: bool = False) -> Encoder:
+    """One encoder for each file and worker. ``plain_text``: strings of special
+    tokens are ordinary text. The library's own threads stay off, as every core
+    has a task of its own."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Encoder(path, plain_text)

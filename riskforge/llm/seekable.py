@@ -20,6 +20,7 @@ of single documents reads the tables at the end and the wanted frames only.
 from __future__ import annotations
 
 import struct
+from functools import cache
 
 import numpy as np
 import xxhash
@@ -33,10 +34,20 @@ def checksum(plain: bytes) -> int:
     return xxhash.xxh64(plain).intdigest() & 0xFFFFFFFF
 
 
+@cache
+def _compressor(level: int) -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=level, write_content_size=True)
+
+
+@cache
+def _decompressor() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
+
+
 def frame(ids: np.ndarray, width: int, level: int = 3) -> tuple[bytes, int, int]:
     """A document's frame, its plain size and checksum."""
     plain = ids.astype(f"<u{width}").tobytes()
-    return zstandard.ZstdCompressor(level=level, write_content_size=True).compress(plain), len(plain), checksum(plain)
+    return _compressor(level).compress(plain), len(plain), checksum(plain)
 
 
 class Writer:
@@ -95,7 +106,7 @@ class Reader:
         return self._plain(self.file.read(int(self.sizes[k])), k)
 
     def _plain(self, compressed: bytes, k: int) -> np.ndarray:
-        plain = zstandard.ZstdDecompressor().decompress(compressed, max_output_size=int(self.plain[k])) if self.plain[k] else b""
+        plain = _decompressor().decompress(compressed, max_output_size=int(self.plain[k])) if self.plain[k] else b""
         if len(plain) != self.plain[k] or checksum(plain) != self.checks[k]:
             raise ValueError(f"frame {k} is damaged")
         return np.frombuffer(plain, f"<u{self.width}")
