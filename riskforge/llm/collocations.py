@@ -50,8 +50,9 @@ from riskforge.llm.words import buffer, find, groups, mix64, ordered_ids
 LEAST = 10
 TOP = 2000
 SHARE = 8  # one document in so many is sampled
-BITS = 1 << 26
+BITS = 1 << 25
 CHUNK = 1 << 21
+ROWS = 1 << 15  # of a batch that goes back to Spark
 
 _LOWER = np.arange(256, dtype=np.uint16)
 _LOWER[65:91] += 32
@@ -169,21 +170,25 @@ def _count(docs: DataFrame, now=None, before=None) -> DataFrame:
     """One pass: sums over the corpus of what ``now`` allows and ``before`` did not.
     Without ``now``, all words and pairs (for the sample)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(chunk: Chunk) -> Iterator[pa.RecordBatch]:
         words, pairs = now.value if now else (None, None)
         words0, pairs0 = before.value if before else (None, None)
+        if before is None:
+            yield from chunk.words()
+        yield chunk.pairs(words, words0)
+        if now:
+            yield chunk.triples(pairs, pairs0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, langs = batch.column("text"), batch.column("lang")
             sizes = pc.binary_length(texts).to_numpy()
             for a, b in groups(sizes, CHUNK):
                 chunk = Chunk(texts.slice(a, b - a), langs.slice(a, b - a))
-                if not len(chunk.ids):
-                    continue
-                if before is None:
-                    yield from chunk.words()
-                yield chunk.pairs(words, words0)
-                if now:
-                    yield chunk.triples(pairs, pairs0)
+                if len(chunk.ids):
+                    for found in counted(chunk):
+                        for low in range(0, found.num_rows, ROWS):
+                            yield found.slice(low, ROWS)
 
     return spread(docs).mapInArrow(run, _COUNTS).groupBy(*_KEYS).agg(F.sum("n").alias("n"))
 
