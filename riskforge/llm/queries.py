@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskforge.llm import ann, collocations, decontamination, html_extraction, language_id, mixing, near_dedup, pii, quality, sharding, substring_dedup, token_output
+from riskforge.llm import alignment, ann, collocations, decontamination, html_extraction, language_id, mixing, near_dedup, pii, quality, sharding, substring_dedup, token_output
 from riskforge.llm.common import table
 from riskforge.llm.sql import COLLOCATIONS, DECONTAMINATION, MIXING, PASSAGES, SHARDING
 
@@ -27,6 +27,7 @@ def registry() -> dict[str, QueryFn]:
         "op10_sharding": lambda s, d: sharding.digest(table(s, d, "documents")),
         "op11_collocations": lambda s, d: collocations.digest(table(s, d, "documents")),
         "op12_substring_dedup": lambda s, d: substring_dedup.digest(table(s, d, "documents")),
+        "op13_alignment": lambda s, d: alignment.digest(table(s, d, "documents")),
     }
 
 
