@@ -25,11 +25,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Like ``cut``, as a compressed Parquet table in the shared folder."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Like ``cut``, as a compressed Parquet table in the shared folder. The
+    shuffle files of the write are released at its end: nothing reads them again."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_RELEASE, "false")
+    spark.conf.set(_RELEASE, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_RELEASE, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _shipped: set[str] = set()

@@ -1,7 +1,7 @@
 """Connected components of a link table, by alternating star contractions.
 
 Every step is a distributed group-by and join; only counts reach the driver,
-and each round is cut off from its lineage by a checkpoint.
+and each round goes on from a written table.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskforge.llm.common import cut
+from riskforge.llm.common import stored
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -36,7 +36,7 @@ def near_labels(links: DataFrame) -> DataFrame:
     and its neighbours, or that one's least neighbour. Nodes of one label are of
     one component; a component may have several labels."""
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = cut(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")))
+    least = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "near")
     upper = least.select(F.col("a").alias("m"), F.col("m").alias("label"))
     return least.join(upper, "m").select(F.col("a").alias("id"), "label")
 
@@ -44,15 +44,16 @@ def near_labels(links: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """Links (a, b) of longs in any order -> (id, label): each linked node with
     the least node of its component."""
-    now = cut(
+    now = stored(
         links.filter(F.col("a") != F.col("b"))
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct()
+        .distinct(),
+        "near",
     )
     print_of = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first())
     before = print_of(now)
     while True:
-        now = cut(_star(_star(now, True), False))
+        now = stored(_star(_star(now, True), False), "near")
         after = print_of(now)
         if after == before:
             break

@@ -44,7 +44,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskforge.llm.common import cut, spread, text_or_empty
+from riskforge.llm.common import spread, stored, text_or_empty
 from riskforge.llm.components import components, near_labels
 from riskforge.llm.dart_minhash import BANDS, BATCH, bands, odd_sketches, shingles, signatures, similarity
 from riskforge.llm.words import buffer, groups
@@ -96,7 +96,7 @@ def _sets(ids: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
     """(id, shingles, odd sketch) of these texts, read from one document of each."""
     chosen = texts.join(ids, "id").select("id", "t", "doc_id")
     found = chosen.join(docs, (docs.t == chosen.t) & docs.doc_id.eqNullSafe(chosen.doc_id)).select("id", "text")
-    return cut(found.mapInArrow(_shingle_sets, "id bigint, shingles array<int>, odd array<bigint>").dropDuplicates(["id"]))
+    return stored(found.mapInArrow(_shingle_sets, "id bigint, shingles array<int>, odd array<bigint>").dropDuplicates(["id"]), "near")
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -104,7 +104,7 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     both = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").join(
         sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a"
     )
-    return cut(both.select("a", "b", "x", "y").mapInArrow(_compare, "a bigint, b bigint, sim double").filter(F.col("sim") >= THRESHOLD))
+    return stored(both.select("a", "b", "x", "y").mapInArrow(_compare, "a bigint, b bigint, sim double").filter(F.col("sim") >= THRESHOLD), "near")
 
 
 def _close(x: str, y: str):
@@ -125,36 +125,39 @@ def classes(docs: DataFrame) -> DataFrame:
     texts_of = docs.select("doc_id", text_or_empty().alias("text")).withColumn("t", F.md5(F.col("text").cast("binary")))
     signed = spread(texts_of.select("t", "text")).mapInArrow(_sign, "t string, n bigint, bands array<bigint>")
     own = texts_of.select("t", "doc_id").groupBy("t").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
-    texts = cut(
-        signed.dropDuplicates(["t"]).join(own, "t").withColumn("id", F.monotonically_increasing_id())
+    texts = stored(
+        signed.dropDuplicates(["t"]).join(own, "t").withColumn("id", F.monotonically_increasing_id()),
+        "near",
     )
     members = texts.select("id", "n", F.posexplode("bands").alias("band", "key"))
     firsts = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("id", "n")).alias("f")).filter("size > 1")
-    shared = cut(
-        members.join(firsts, "key").select("band", "key", "id", "n", F.col("f.id").alias("first"), F.col("f.n").alias("n_first"))
+    shared = stored(
+        members.join(firsts, "key").select("band", "key", "id", "n", F.col("f.id").alias("first"), F.col("f.n").alias("n_first")),
+        "near",
     )
     sets = _sets(shared.select("id").distinct(), texts, texts_of)
     near = shared.filter((F.col("id") != F.col("first")) & _close("n", "n_first"))
-    tested = cut(near.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct())
+    tested = stored(near.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "near")
     links = _links(tested, sets)
 
     # buckets that hold several groups after this: all pairs across them
     label = near_labels(links)
     labelled = shared.select("band", "key", "id", "n").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    left = cut(_mixed(labelled, ["band", "key"]).join(texts.select("id", "bands"), "id").join(sets.select("id", "odd"), "id"))
+    left = stored(_mixed(labelled, ["band", "key"]).join(texts.select("id", "bands"), "id").join(sets.select("id", "odd"), "id"), "near")
     more = _across(left.filter(F.col("size") <= WIDE))
     wide = left.filter(F.col("size") > WIDE).drop("size")
     if wide.limit(1).count():
         more = more.unionByName(_across_blocks(wide))
-    links = cut(links.unionByName(_links(more.join(tested, ["a", "b"], "left_anti"), sets)))
+    links = stored(links.unionByName(_links(more.join(tested, ["a", "b"], "left_anti"), sets)), "near")
 
     label = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
-    placed = cut(
+    placed = stored(
         texts.select("id", "t", "doc_id", "copies")
         .join(label, "id", "left")
         .join(degree, "id", "left")
-        .withColumn("label", F.coalesce("label", "id"))
+        .withColumn("label", F.coalesce("label", "id")),
+        "near",
     )
     groups_ = placed.groupBy("label").agg(F.min(F.struct("doc_id", "t")).alias("rep"), F.sum("copies").alias("class_size"))
     of_text = placed.join(groups_, "label").select(
@@ -182,8 +185,8 @@ def _across_blocks(members: DataFrame) -> DataFrame:
     bucket = ["band", "key"]
     held = members.groupBy(*bucket, "label").agg(F.count(F.lit(1)).alias("c"))
     # a label of many members has blocks of its own, the others share theirs
-    owned = cut(held.withColumn("owner", F.when(F.col("c") > WIDE, F.col("label")).otherwise(-1)))
-    parts = cut(owned.groupBy(*bucket, "owner").agg(F.ceil(F.sum("c") / WIDE).cast("int").alias("parts")))
+    owned = stored(held.withColumn("owner", F.when(F.col("c") > WIDE, F.col("label")).otherwise(-1)), "near")
+    parts = stored(owned.groupBy(*bucket, "owner").agg(F.ceil(F.sum("c") / WIDE).cast("int").alias("parts")), "near")
     placed = (
         members.join(owned.drop("c"), [*bucket, "label"])
         .join(parts, [*bucket, "owner"])
@@ -193,7 +196,7 @@ def _across_blocks(members: DataFrame) -> DataFrame:
     one = blocks.select(*bucket, F.struct("owner", "part").alias("x"))
     other = blocks.select(*bucket, F.struct("owner", "part").alias("y"))
     alone = (F.col("x.owner") == F.col("y.owner")) & (F.col("x.owner") >= 0)
-    met = cut(one.join(other, bucket).filter((F.col("x") <= F.col("y")) & ~alone))
+    met = stored(one.join(other, bucket).filter((F.col("x") <= F.col("y")) & ~alone), "near")
     columns = [*bucket, "x", "y", "id", "n", "label", "bands", "odd"]
     left = placed.withColumnRenamed("block", "x").join(met, [*bucket, "x"]).select(*columns, F.lit(0).alias("side"))
     right = placed.withColumnRenamed("block", "y").join(met.filter("x != y"), [*bucket, "y"]).select(*columns, F.lit(1).alias("side"))
@@ -283,7 +286,7 @@ def digest(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The documents, one row of each class: the least doc_id's."""
     found = classes(docs)
-    reps = cut(found.filter(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("t") == F.col("class_t"))).select("doc_id", "t"))
+    reps = stored(found.filter(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("t") == F.col("class_t"))).select("doc_id", "t"), "near")
     repeated = reps.groupBy("doc_id", "t").count().filter("count > 1").limit(1).count()
     named = docs.withColumn("__t", F.md5(text_or_empty().cast("binary")))
     kept = reps.select(F.col("doc_id").alias("__kept_id"), F.col("t").alias("__kept_t"))
