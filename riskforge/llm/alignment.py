@@ -39,7 +39,7 @@ from riskforge.llm.byte_bpe import encoder
 from riskforge.llm.common import small_side, spread, stored, text_or_empty
 from riskforge.llm.words import groups
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Rows of the pair table (24 bytes each) up to which it is broadcast.
 PAIRS = 1_000_000
 
@@ -101,37 +101,38 @@ def tokenizers(a: str, b: str) -> Tokenizers:
 
 def align(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the tokens of A and of B that end together, in order. Both
-    lists rise and end alike."""
-    closed_a, closed_b = bytearray(len(ends_a)), bytearray(len(ends_b))
-    i = j = 0
-    n, m = len(ends_a), len(ends_b)
-    while i < n and j < m:
-        width = 1
-        while i + width <= n and j + width <= m and ends_a[i : i + width] == ends_b[j : j + width]:
-            closed_a[i : i + width] = closed_b[j : j + width] = b"\1" * width
-            i += width
-            j += width
-            width *= 2
-        while width > 1:  # the stretch ends inside the last slice
-            width //= 2
-            if i + width <= n and j + width <= m and ends_a[i : i + width] == ends_b[j : j + width]:
-                closed_a[i : i + width] = closed_b[j : j + width] = b"\1" * width
-                i += width
-                j += width
-        if i == n or j == m:
-            break
+    lists rise and end alike; a mark that differs is put behind each."""
+    n, i, j = len(ends_a), 0, 0
+    ends_a, ends_b = [*ends_a, -1], [*ends_b, -2]
+    from_a, from_b, runs = [], [], []
+    while i < n:
         x, y = ends_a[i], ends_b[j]
-        while x != y:
+        while x != y:  # inside an irregular group
             if x < y:
                 i += 1
                 x = ends_a[i]
             else:
                 j += 1
                 y = ends_b[j]
-        closed_a[i] = closed_b[j] = 1
-        i += 1
-        j += 1
-    return np.flatnonzero(np.frombuffer(closed_a, np.uint8)), np.flatnonzero(np.frombuffer(closed_b, np.uint8))
+        p, q = i + 1, j + 1
+        if ends_a[p] == ends_b[q]:  # a stretch at the new shift
+            width = 1
+            while ends_a[p : p + width] == ends_b[q : q + width]:
+                p += width
+                q += width
+                width *= 2
+            while width > 1:  # it ends inside the last slice
+                width //= 2
+                if ends_a[p : p + width] == ends_b[q : q + width]:
+                    p += width
+                    q += width
+        from_a.append(i)
+        from_b.append(j)
+        runs.append(p - i)
+        i, j = p, q
+    length = np.array(runs, np.int64)
+    within = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    return np.repeat(np.array(from_a, np.int64), length) + within, np.repeat(np.array(from_b, np.int64), length) + within
 
 
 def _written(own: Tokenizers, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> bytes:
