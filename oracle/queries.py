@@ -86,6 +86,16 @@ def registry() -> dict[str, str]:
             "lcr", "nsfr", "lcr_headroom", "nsfr_headroom")), ("r_liquidity",)),
         "report_row_counts": with_ctes(final("r_row_counts", (), ("row_count",)), ("r_row_counts",)),
         "raw_csv_roundtrip": with_ctes(final("src_loans", LOAN_D, dates=LOAN_DATES), ("src_loans",)),
+        "raw_csv_counterparties": with_ctes(final("src_counterparties", CPTY_D, dates=CPTY_DATES), ("src_counterparties",)),
+        "raw_csv_rwa": with_ctes(final("src_rwa", RWA_D, dates=RD_ONLY), ("src_rwa",)),
+        "raw_csv_capital": with_ctes(final("src_capital", CAP_D, dates=RD_ONLY), ("src_capital",)),
+        "raw_csv_stress": with_ctes(final("src_stress", STRESS_D, ("scenario_year",), dates=RD_ONLY), ("src_stress",)),
+        "bulk_load": with_ctes(
+            final("src_loans", LOAN_D, dates=LOAN_DATES) + " WHERE internal_rating IS DISTINCT FROM 'CCC'", ("src_loans",)),
+        "bulk_load_rejects": with_ctes(
+            "SELECT 'exposure_amount' AS columns, count(*)::BIGINT AS records FROM src_loans WHERE internal_rating = 'CCC'",
+            ("src_loans",)),
+        "published_table": with_ctes(final("stg_capital", CAP_D, dates=RD_ONLY), ("stg_capital",)),
         "rwa_standardized": with_ctes(final("f_rwa_std", RWA_D), ("f_rwa_std",)),
         "capital_ratios": with_ctes(final("f_capital_ratios", (
             "total_capital_calc", "cet1_ratio_calc", "tier1_ratio_calc", "total_capital_ratio_calc")),

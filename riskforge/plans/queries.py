@@ -12,6 +12,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from decimal import Decimal
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +21,9 @@ from riskforge.operators import formulas, quality, reports
 from riskforge.plans.build import Build
 from riskforge.plans.compare import comparable
 from riskforge.session import warehouse_path
+from riskforge.sources.bulk_load import copy_into, loaded, rejects
 from riskforge.sources.raw import load
+from riskforge.sources.versions import publish
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -58,12 +61,48 @@ def _sorted_fn(fn: Callable[[Build], DataFrame]) -> QueryFn:
 LOW_BUFFER = replace(DEFAULT_STRESS, capital_buffer=Decimal("50000"))
 
 
-def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The loans written as CSV and read back through the raw schema."""
+def _write_csv(df: DataFrame, path: str) -> None:
+    df.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+
+
+def _csv_roundtrip(table: str) -> QueryFn:
+    """A raw table written as CSV and read back through its raw schema."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = warehouse_path(spark, f"csv/{uuid.uuid4().hex}")
+        _write_csv(Build.from_testdata(spark, sf_dir, audit=False).raw[table], path)
+        return comparable(load(spark, table, path, "csv"))
+
+    return run
+
+
+def _bulk_load(spark: SparkSession, sf_dir: str) -> str:
+    """The loans loaded from CSV twice, those rated CCC with an exposure that is no number."""
+    base = warehouse_path(spark, f"bulk/{uuid.uuid4().hex}")
     loans = Build.from_testdata(spark, sf_dir, audit=False).raw["loan_portfolio"]
-    path = warehouse_path(spark, f"csv/{uuid.uuid4().hex}")
-    loans.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
-    return comparable(load(spark, "loan_portfolio", path, "csv"))
+    shown = F.when(F.col("internal_rating") == "CCC", "n/a").otherwise(F.col("exposure_amount").cast("string"))
+    _write_csv(loans.withColumn("exposure_amount", shown), f"{base}/in")
+    for _ in range(2):  # the second load finds no new file
+        copy_into(spark, "loan_portfolio", f"{base}/in", f"{base}/out")
+    return f"{base}/out"
+
+
+def _bulk_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refused = rejects(spark, _bulk_load(spark, sf_dir), "loan_portfolio")
+    return comparable(refused.groupBy(F.array_join("columns", ",").alias("columns")).agg(F.count(F.lit(1)).alias("records")))
+
+
+def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A published table after a rewrite that fails half way, read through SQL."""
+    capital = comparable(Build.from_testdata(spark, sf_dir, audit=False).stg_capital_components)
+    base, schema = warehouse_path(spark, "published"), f"published_{uuid.uuid4().hex}"
+    publish(capital, base, schema, "capital", ("reporting_date",))
+    half = F.when(F.xxhash64("entity_id", "reporting_period") % 2 == 0, F.raise_error(F.lit("half way")).cast("string")).otherwise("x")
+    try:
+        publish(capital.withColumn("entity_id", half), base, schema, "capital", ("reporting_date",))
+    except PySparkException:
+        pass
+    return spark.sql(f"SELECT * FROM {schema}.capital")
 
 
 def _text_numerics(b: Build) -> DataFrame:
@@ -110,7 +149,14 @@ def registry() -> dict[str, QueryFn]:
         "schema_tests": _build_fn(lambda b: quality.run_schema_tests(b.schema_test_tables())),
     }
     q.update({
-        "raw_csv_roundtrip": _csv_roundtrip,
+        "raw_csv_roundtrip": _csv_roundtrip("loan_portfolio"),
+        "raw_csv_counterparties": _csv_roundtrip("counterparties"),
+        "raw_csv_rwa": _csv_roundtrip("rwa_components"),
+        "raw_csv_capital": _csv_roundtrip("capital_components"),
+        "raw_csv_stress": _csv_roundtrip("stress_scenarios"),
+        "bulk_load": lambda s, d: comparable(loaded(s, _bulk_load(s, d), "loan_portfolio")),
+        "bulk_load_rejects": _bulk_rejects,
+        "published_table": _published,
         "dq_text_numerics": _build_fn(_text_numerics),
         # business formulas and macros
         "rwa_standardized": _build_fn(lambda b: formulas.rwa_standardized(b.stg_loan_portfolio)),

@@ -36,14 +36,15 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
-def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """CSV with a header row; empty strings are NULL (bulk-load semantics)."""
+def read_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
+    """CSV with a header row; empty strings are NULL (bulk-load semantics). Files
+    are split among tasks unless ``multi_line`` allows line breaks inside quotes."""
     raw = (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("quote", '"')
         .option("escape", '"')  # a quote inside a quoted field is doubled
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("nullValue", "")
         .option("emptyValue", None)
         .csv(path)
