@@ -47,7 +47,7 @@ _IP = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _URL = re.compile(r"[^\s\"'<>]+")
-_HOST = re.compile(r"(?:[^/?#@]*@)?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+|:[0-9])")
+_HOST = re.compile(r"(?:[^/?#@\s\"'<>]*@)?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+|:[0-9])")
 _ACCOUNT = re.compile(r"(?:\s?[A-Za-z]{2,6})?\s?[=:]?\s?[\"']?([A-Za-z0-9](?:-?[A-Za-z0-9]){7,})")
 
 
@@ -114,9 +114,9 @@ def _phone(text: str, at: int, past: int) -> tuple[int, int, bool] | None:
 
 def _url(text: str, at: int, past: int) -> tuple[int, int, bool] | None:
     scheme = text.index("://", at) + 3
-    m = _URL.match(text, scheme)
-    if not m or not _HOST.match(m.group()):
+    if not _HOST.match(text, scheme):  # before the rest is taken, which may be long
         return None
+    m = _URL.match(text, scheme)
     return at, scheme + len(m.group().rstrip(".,;:!?)]}")), True
 
 
@@ -206,7 +206,7 @@ def digest(docs: DataFrame) -> DataFrame:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
 
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
-    counts = {f"n_{k}": counted(k) for k in BASE}
+    counts = {f"n_{k}": counted(k) for k in KINDS} | {"n_spans": F.size("spans").cast("long")}
     return found.withColumns(
         {**counts, "base_sha256": F.sha2(joined(base).cast("binary"), 256), "spans": joined(F.col("spans"))}
-    ).select("doc_id", *counts, "base_sha256", "spans")
+    ).select("doc_id", *[f"n_{k}" for k in BASE], "base_sha256", "spans", "n_url", "n_account", "n_spans")

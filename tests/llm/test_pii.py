@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -86,3 +87,16 @@ def test_hard_rows(spark):
     nulls = [r for r in pii.redacted(docs).collect() if r.doc_id == 2000]
     assert nulls[0].text is None
     assert pii.digest(cases.none(spark)).collect() == []
+
+
+def test_runs_of_schemes_take_linear_time():
+    start = time.perf_counter()
+    assert not [s for s in pii.spans_of("http://" * 40_000) if s[0] == "url"]
+    assert len([s for s in pii.spans_of("http://a.example/x " * 20_000) if s[0] == "url"]) == 20_000
+    assert time.perf_counter() - start < 5
+
+
+def test_hosts_with_user_and_port():
+    for text, found in [("see http://me:pw@host.example/a, ok", (4, 31)), ("http://host:80", (0, 14)), ("http://a b@c.d", None), ("http://'x'", None)]:
+        got = [s[1:] for s in pii.spans_of(text) if s[0] == "url"]
+        assert got == ([found] if found else [])
