@@ -36,9 +36,9 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
-def read_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header row; empty strings are NULL (bulk-load semantics). Files
-    are split among tasks unless ``multi_line`` allows line breaks inside quotes."""
+    whose quoted fields hold no line breaks are split among tasks with ``multi_line=False``."""
     raw = (
         spark.read.option("header", True)
         .option("inferSchema", False)
