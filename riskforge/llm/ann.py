@@ -14,16 +14,18 @@ tree.
 
 Search. A query walks all trees through one shared priority queue, ordered by
 how far it is on the wrong side of the worst hyperplane on the way, and takes
-leaves until they hold ``SHARE`` of the items (``LEAST`` in a small table),
-counting an item once for each tree it is found in. The leaves' true sizes are used, so the work
-follows the data and not the sample.
-
-Rerank. Items and queries meet at their leaves. Each task computes the exact
-distances of a leaf's items (double precision, on the original vectors) to
-the queries that took the leaf and keeps the best k vec_ids of each; the final
-k are the best of those, ties to the smaller vec_id. A leaf of many items is
-dealt over several tasks, so a hot leaf is not one task; its queries go to each
-of them.
+leaves until they hold ``SHARE`` times as many rows as there are items,
+counting an item once for each tree it is found in: the same rule in a table of
+any size. The leaves' true sizes are used, so the work follows the data and not
+the sample.
+
+Rerank. Items are dealt to blocks of about ``BLOCK`` by a hash of the vector,
+each with its leaves, and meet the queries there, ``QUERIES`` at a time. A task
+computes the exact distance (double precision, on the original vectors) of a
+query to every item that lies in one of its leaves, each pair once however many
+trees it meets in, and keeps the best k vec_ids; the final k are the best of
+those, ties to the smaller vec_id. Blocks are dealt by hash, so a leaf of many
+items is not one task.
 
 What goes to all tasks is the forest: at most 2 * SAMPLE / LEAF nodes for each
 tree, whatever the input.
@@ -35,7 +37,8 @@ few per cent are enough. Recall against brute force is measured in the tests.
 Edge cases: null vectors and vectors that are zero, hold null or non-finite
 components or differ in length from the most common length take no part; null
 ids take no part; rows of one vec_id are one candidate, at the least of their
-distances (a query leaves out rows of its own id); fewer rows than k give as
+distances (a query leaves out rows of its own id, and of several vectors the
+least in array order is its own); fewer rows than k give as
 many; an empty table gives an empty result; further columns are ignored.
 """
 
@@ -57,9 +60,9 @@ K = 10
 TREES = 16
 SAMPLE = 20_000
 LEAF = 100
-SHARE = 0.75
-LEAST = 5_000  # rows of leaves that a query looks through at least
-LEAF_ROWS = 20_000  # rows of a leaf in one task
+SHARE = 1.5
+BLOCK = 20_000  # items of a block
+QUERIES = 5_000  # queries that meet a block in one task
 
 
 class Forest:
@@ -210,50 +213,48 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, trees: int = TRE
     sizes = np.zeros(forest.leaves, np.int64)
     for r in counts:
         sizes[r["leaf"]] = r["count"]
-    wanted = max(LEAST, share * (sizes.sum() / max(1, trees)))
-    shares = np.maximum(1, -(-sizes // LEAF_ROWS))  # tasks of each leaf
-    plan = spark.sparkContext.broadcast((sizes, shares))
+    n_items = int(sizes.sum() / max(1, trees))
+    plan = spark.sparkContext.broadcast((sizes, share * n_items))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, (n, parts) = sent.value, plan.value
+        own, (n, wanted) = sent.value, plan.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            matrix = _matrix(batch.column("embedding"), own.dim)
-            for i, query in enumerate(matrix):
-                leaf = np.array(own.search(query, n, wanted), np.int64)
-                leaf = np.repeat(leaf, parts[leaf])
-                part = np.concatenate([np.arange(parts[x]) for x in dict.fromkeys(leaf.tolist())])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(leaf), pa.array(part), pa.array(np.full(len(leaf), batch.column("vec_id")[i].as_py())), batch.column("embedding").take(pa.array(np.full(len(leaf), i)))],
-                    ["leaf", "part", "query_id", "embedding"],
-                )
-
-    ids = queries.filter("vec_id is not null").select(F.col("vec_id").cast("bigint").alias("vec_id")).distinct()
-    asked = rows.join(ids, "vec_id", "left_semi").dropDuplicates(["vec_id"])
-    visits = asked.mapInArrow(walk, "leaf bigint, part bigint, query_id bigint, embedding array<double>")
-    held = placed.select("vec_ids", "embedding", F.explode("leaves").alias("leaf"))
-    wide = [(int(leaf), int(shares[leaf])) for leaf in np.flatnonzero(shares > 1)]
-    if wide:  # at most one row for each leaf
-        held = held.join(F.broadcast(spark.createDataFrame(wide, "leaf bigint, parts bigint")), "leaf", "left")
-    parts_of = F.coalesce(F.col("parts"), F.lit(1)) if wide else F.lit(1)
-    held = held.withColumn("part", F.pmod(F.xxhash64("embedding"), parts_of).cast("bigint")).select("vec_ids", "embedding", "leaf", "part")
+            if batch.num_rows:
+                found = [own.search(query, n, wanted) for query in _matrix(batch.column("embedding"), own.dim)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32()))], ["query_id", "embedding", "taken"])
+
+    ids = queries.filter("vec_id is not null").select(F.col("vec_id").cast("bigint").alias("query_id")).distinct()
+    asked = cut(rows.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("embedding").alias("embedding")).join(ids, "query_id", "left_semi"))
+    blocks = max(spark.sparkContext.defaultParallelism, -(-n_items // BLOCK))
+    groups = max(1, -(-asked.count() // QUERIES))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    held = placed.select("*", F.pmod(F.xxhash64("embedding"), F.lit(blocks)).cast("int").alias("block")).select("*", every(groups).alias("part"))
+    walked = spread(asked).mapInArrow(walk, "query_id bigint, embedding array<double>, taken array<int>")
+    visits = walked.select("*", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int").alias("part")).select("*", every(blocks).alias("block"))
 
     def rerank(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
         if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+            return empty
         a = np.stack(left["embedding"].to_numpy()).astype(np.float64)
+        leaves = np.stack(left["leaves"].to_numpy())
         lists = left["vec_ids"].to_numpy()
-        ids, item, out = np.concatenate(lists), np.repeat(np.arange(len(a)), [len(x) for x in lists]), []
-        for q, vector in zip(right["query_id"].to_numpy(), right["embedding"].to_numpy()):
-            d = np.sqrt(((a - np.asarray(vector, np.float64)) ** 2).sum(axis=1))[item]
+        ids, item, out = np.concatenate(lists), np.repeat(np.arange(len(a)), [len(x) for x in lists]), [empty]
+        chosen = np.zeros(leaves.max() + 1, bool)
+        for q, vector, taken in zip(right["query_id"].to_numpy(), right["embedding"].to_numpy(), right["taken"].to_numpy()):
+            chosen[:] = False
+            chosen[taken[taken < len(chosen)]] = True
+            hit = np.flatnonzero(chosen[leaves].any(axis=1))
+            d = np.full(len(a), np.inf)
+            d[hit] = np.sqrt(((a[hit] - np.asarray(vector, np.float64)) ** 2).sum(axis=1))
+            d = d[item]
             d[ids == q] = np.inf
             near = _nearest_ids(ids, d, k)
             out.append(pd.DataFrame({"query_id": np.full(len(near), q), "vec_id": ids[near], "score": d[near]}))
         return pd.concat(out)
 
-    found = held.groupBy("leaf", "part").cogroup(visits.groupBy("leaf", "part")).applyInPandas(rerank, "query_id bigint, vec_id bigint, score double")
-    # a row is found in several trees, with the same score each time
+    found = held.groupBy("block", "part").cogroup(visits.groupBy("block", "part")).applyInPandas(rerank, "query_id bigint, vec_id bigint, score double")
+    # an id with several vectors may be found in several blocks
     best = W.partitionBy("query_id").orderBy("score", "vec_id")
     return (
         found.groupBy("query_id", "vec_id")
