@@ -181,9 +181,9 @@ def mix_documents(
         "copy", F.explode_outer(F.when(F.col("copies") > 0, F.sequence(F.lit(0), F.col("copies") - F.lit(1))))
     ).withColumn("block", F.when(F.col("copy") == 0, at(0)).otherwise(F.when(F.col("copy") == 1, at(1))))
     quotas = copies.groupBy("s_key").agg((F.max("block") + F.lit(1)).alias("blocks")).filter("blocks > 0")
-    places = block_shards(quotas, shards, seed)
-    # a source of few copies has few blocks: places has about shards * blocks rows in all
-    dealt = copies.join(F.broadcast(places) if shards * blocks <= 100_000 else places, ["s_key", "block"], "left")
+    quotas = cut(quotas)
+    n_places = quotas.agg(F.sum("blocks")).first()[0] or 0  # about shards * blocks, and one more for each source
+    dealt = copies.join(small_side(block_shards(quotas, shards, seed), n_places), ["s_key", "block"], "left")
     key = F.md5(F.concat_ws("|", F.lit(f"{seed}-order"), F.col("m_hash"), F.col("copy").cast("string")).cast("binary"))
     return (
         dealt.withColumn("draw", F.when(F.col("shard").isNotNull(), F.struct("shard", "block", key.alias("mix_key"))))
