@@ -6,8 +6,10 @@ the automaton until no transition is left, start the next phrase there). The
 language that needs the fewest phrases for each letter wins.
 
 Learning uses a bounded sample: of each language at most ``TRAIN_DOCS``
-documents in a seeded order, ``TRAIN_CHARS`` symbols of all languages together
-in equal shares. Prediction reads whole texts: a text becomes a row of symbols
+different texts in a seeded order, and of each of them one stretch from a seeded
+place. All languages together give ``TRAIN_CHARS`` symbols in equal shares, so
+what reaches the driver is bounded whatever the number of languages; a stretch
+has ``LEAST_STRETCH`` symbols or more where the share holds them. Prediction reads whole texts: a text becomes a row of symbols
 (lower-case letters; any other run is one space) cut into stretches of
 ``STRETCH``, and many stretches of many documents walk the automata at the same
 time in numpy. A phrase ends with its stretch, for every language alike.
@@ -34,11 +36,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskforge.llm.common import spread
+from riskforge.llm.common import cut, small_side, spread
 from riskforge.llm.words import groups
 
 TRAIN_DOCS = 60
 TRAIN_CHARS = 160_000
+LEAST_STRETCH = 200
 STRETCH = 1024
 CHUNK = 1 << 20
 UNKNOWN = "und"
@@ -182,20 +185,20 @@ def held_out() -> Column:
 
 def learn(labelled: DataFrame, train_docs: int = TRAIN_DOCS, train_chars: int = TRAIN_CHARS) -> Model:
     """A model from rows of (text, lang); null labels teach nothing."""
-    key = F.md5(F.col("text").cast("binary"))
-    order = W.partitionBy("lang").orderBy(key, "text")
-    sample = (
-        labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-        .select("lang", F.substring("text", 1, train_chars).alias("text"))
-        .withColumn("k", F.row_number().over(order))
-        .filter(F.col("k") <= train_docs)
-        .collect()
-    )
+    key = F.md5(F.col("text").cast("binary")).alias("key")
+    named = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", key).distinct()
+    order = W.partitionBy("lang").orderBy("key")
+    names = cut(named.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= train_docs))
+    rows, languages = names.agg(F.count(F.lit(1)), F.count_distinct("lang")).first()
+    share = train_chars // max(1, languages)
+    each = max(1, min(share, max(LEAST_STRETCH, share // train_docs)))
+    begin = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - F.lit(each), F.lit(0)) + F.lit(1)) + F.lit(1)
+    some = labelled.select("lang", key, F.substr("text", begin.cast("int"), F.lit(each)).alias("stretch"))
+    sample = some.join(small_side(names, rows), ["lang", "key"]).groupBy("lang", "k").agg(F.first("stretch").alias("stretch")).collect()
     texts: dict[str, list[str]] = {}
     for row in sorted(sample, key=lambda r: (r.lang, r.k)):
-        texts.setdefault(row.lang, []).append(row.text)
-    share = train_chars // max(1, len(texts))
-    return Model({k: " ".join(t[: max(1, share // 10)] for t in v)[:share] for k, v in texts.items()})
+        texts.setdefault(row.lang, []).append(row.stretch)
+    return Model({k: " ".join(v)[:share] for k, v in texts.items()})
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
