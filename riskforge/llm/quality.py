@@ -9,8 +9,9 @@ vectors found around it in the training texts (two to each side). A document
 is the mean of its tokens' word vectors and the logarithm of its length.
 
 Fitting uses a bounded sample: the ``TRAIN_ROWS`` labelled rows with the least
-seeded key outside the held-out fold, each text's first ``TRAIN_CHARS`` code
-points. A fifth of them is set apart to find the temperature. Scoring reads
+seeded key outside the held-out fold, with their whole texts, which are read in
+tasks: word counts, sums of word vectors and pooled vectors are what leaves
+them. A fifth of them is set apart to find the temperature. Scoring reads
 whole texts of all documents, without a shuffle.
 
 Edge cases: a null or empty text is scored like any other, as a document
@@ -31,11 +32,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskforge.llm.common import spread
+from riskforge.llm.common import cut, ship, spread, text_or_empty
 from riskforge.llm.words import buffer, find, groups, mix64
 
 TRAIN_ROWS = 4000
-TRAIN_CHARS = 50_000
+TRAIN_TASKS = 8  # tasks that read the training texts
 VOCABULARY = 4096
 DIM, SPARSE, WINDOW, HIDDEN = 64, 4, 2, 32
 EPOCHS = 40
@@ -97,18 +98,26 @@ class Model:
         out[:, DIM] = np.log1p(n) / 10
         return out
 
-    def fit_vectors(self, data: np.ndarray, at: np.ndarray) -> None:
-        h, shape, first = _tokens(data, at)
-        values, counts = np.unique(h, return_counts=True)
-        often = values[np.argsort(-counts, kind="stable")[:VOCABULARY]]
-        self.words = np.sort(often[np.isin(often, values[counts > 1])])
-        ids = self.ids(h, shape)
+    def choose_words(self, values: np.ndarray, counts: np.ndarray) -> None:
+        """The vocabulary: the commonest words that occur more than once, ties to the smaller hash."""
+        best = np.lexsort((values, -counts))[:VOCABULARY]
+        self.words = np.sort(values[best][counts[best] > 1])
+
+    def index_vectors(self) -> np.ndarray:
         size = _SHAPES + len(self.words)
         index = np.zeros((size, DIM), np.float32)
         name = np.concatenate([np.arange(_SHAPES, dtype=np.uint64), self.words])  # by the word itself, not its place
         for j in range(SPARSE):
             x = mix64(name + mix64(np.array([j + 1], np.uint64)))
             index[np.arange(size), (x % np.uint64(DIM)).astype(np.int64)] += np.where(x >> np.uint64(63) == 1, 1, -1)
+        return index
+
+    def around(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sum and number of the index vectors found around every token: whole
+        numbers, so sums over parts of the texts add up exactly."""
+        h, shape, first = _tokens(data, at)
+        ids, index = self.ids(h, shape), self.index_vectors()
+        size = len(index)
         doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
         total, seen = np.zeros((size, DIM)), np.zeros(size)
         for lag in range(1, WINDOW + 1):
@@ -121,22 +130,23 @@ class Model:
                     edges = np.flatnonzero(np.diff(left[part], prepend=-1))
                     total[left[part][edges]] += np.add.reduceat(index[right[part]] * times[part, None], edges, axis=0)
                 seen += np.bincount(ids[a], minlength=size)
+        return total, seen
+
+    def set_vectors(self, total: np.ndarray, seen: np.ndarray) -> None:
         self.vectors = (total / np.maximum(seen, 1)[:, None]).astype(np.float32)
 
+    def fit_vectors(self, data: np.ndarray, at: np.ndarray) -> None:
+        """Word vectors of texts held in memory."""
+        self.choose_words(*np.unique(_tokens(data, at)[0], return_counts=True))
+        self.set_vectors(*self.around(data, at))
+
     def logits(self, x: np.ndarray) -> np.ndarray:
         w1, b1, w2, b2, mean, scale = self.net
         hidden = np.maximum((x - mean) / scale @ w1 + b1, 0)
         return hidden @ w2 + b2
 
-    def fit(self, texts: list[str], labels: list[int], seed: int = 7) -> "Model":
-        y = np.array(labels, np.float64)
-        if len(y):
-            self.prior = float(y.mean())
-        if not len(y) or self.prior in (0.0, 1.0):
-            return self
-        data, at = buffer(pa.array(texts, pa.large_string()))
-        self.fit_vectors(data, at)
-        x = np.concatenate([self.pooled(data[at[a] : at[b]], at[a : b + 1] - at[a]) for a, b in groups(np.diff(at), CHUNK)])
+    def fit_network(self, x: np.ndarray, y: np.ndarray, seed: int = 7) -> "Model":
+        """Network and temperature from one row for each text, as ``pooled`` gives it."""
         rng = np.random.default_rng(seed)
         order = rng.permutation(len(y))
         apart, learn = order[: len(y) // 5], order[len(y) // 5 :]
@@ -180,23 +190,78 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
-    """A model from the labelled documents outside the held-out fold."""
+def training_texts(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """At most ``train_rows`` labelled texts outside the held-out fold, whole:
+    (k, quality, t, text). Equal rows of a table count once."""
     key = F.md5(F.concat(F.lit("quality|"), F.col("doc_id").cast("string")).cast("binary"))
+    digest_of = F.md5(text_or_empty().cast("binary"))
     chosen = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out())
         .select("doc_id", "quality", key.alias("k"))
+        .distinct()
         .orderBy("k", "quality")
         .limit(train_rows)
     )
-    rows = (
-        docs.select("doc_id", F.substring("text", 1, TRAIN_CHARS).alias("text"))
-        .join(F.broadcast(chosen), "doc_id")  # train_rows rows at most
-        .orderBy("k", "quality", "text")
-        .limit(train_rows)
-        .collect()
+    own = docs.select("doc_id", "text")
+    met = own.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "k", digest_of.alias("t"))  # train_rows rows at most
+    names = cut(met.distinct().orderBy("k", "quality", "t").limit(train_rows))
+    texts = own.withColumn("t", digest_of).join(F.broadcast(names), ["doc_id", "t"])
+    return cut(texts.groupBy("k", "quality", "t").agg(F.first("text").alias("text")).repartition(TRAIN_TASKS, "k", "t"))
+
+
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Pieces of about CHUNK bytes of whole texts, with their rows."""
+    for batch in batches:
+        data, at = buffer(batch.column("text"))
+        for a, b in groups(np.diff(at), CHUNK):
+            yield batch.slice(a, b - a), data[at[a] : at[b]], at[a : b + 1] - at[a]
+
+
+def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
+    """A model from the labelled documents outside the held-out fold. Texts are
+    read in tasks; the driver gets the commonest words, ``TRAIN_TASKS`` sums of
+    word vectors and one vector of each text."""
+    ship(docs.sparkSession)
+    texts = training_texts(docs, labels, train_rows)
+    model = Model()
+    shares = texts.agg(F.avg("quality"), F.count_distinct("quality")).first()
+    if shares[0] is not None:
+        model.prior = float(shares[0])
+    if shares[1] < 2:
+        return model
+    top = np.uint64(1 << 63)  # keeps the order of unsigned hashes in signed longs
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, data, at in _each(batches):
+            h, n = np.unique(_tokens(data, at)[0], return_counts=True)
+            yield pa.RecordBatch.from_pydict({"h": pa.array((h ^ top).view(np.int64)), "n": pa.array(n.astype(np.int64))})
+
+    common = (
+        texts.mapInArrow(words, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+        .filter("n > 1").orderBy(F.desc("n"), "h").limit(VOCABULARY).collect()
     )
-    return Model().fit([r.text or "" for r in rows], [r.quality for r in rows])
+    model.choose_words(np.array([r.h for r in common], np.int64).view(np.uint64) ^ top, np.array([r.n for r in common], np.int64))
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [model.around(data, at) for _, data, at in _each(batches)]
+        if parts:
+            total, seen = sum(p[0] for p in parts), sum(p[1] for p in parts)
+            yield pa.RecordBatch.from_pydict({"total": pa.array([total.tobytes()]), "seen": pa.array([seen.tobytes()])})
+
+    parts = texts.mapInArrow(sums, "total binary, seen binary").collect()
+    model.set_vectors(
+        sum(np.frombuffer(p.total).reshape(-1, DIM) for p in parts), sum(np.frombuffer(p.seen) for p in parts)
+    )
+
+    def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, at in _each(batches):
+            x = pa.array(list(model.pooled(data, at)), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([rows.column(c) for c in ("k", "quality", "t")] + [x], ["k", "quality", "t", "x"])
+
+    label = texts.schema["quality"].dataType.simpleString()
+    rows = texts.mapInArrow(pool, f"k string, quality {label}, t string, x array<double>").collect()  # train_rows rows at most
+    rows.sort(key=lambda r: (r.k, r.quality, r.t))
+    return model.fit_network(np.array([r.x for r in rows]), np.array([r.quality for r in rows], np.float64))
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:

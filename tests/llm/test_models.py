@@ -2,8 +2,10 @@
 hard rows."""
 
 import random
+import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -241,8 +243,9 @@ def test_ann_on_hard_rows(spark):
     assert ann.digest(vectors.limit(0)).collect() == []
 
 
-def test_wide_leaves_are_dealt_over_tasks(spark, monkeypatch):
-    monkeypatch.setattr(ann, "LEAF_ROWS", 7)
+def test_blocks_of_items_and_queries(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 7)
+    monkeypatch.setattr(ann, "QUERIES", 1)
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=3).tolist()) for i in range(250)]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
@@ -268,18 +271,53 @@ def test_recall_with_a_third_of_rows_equal(spark):
     x = rng.normal(size=(12_000, 64))
     common = rng.permutation(len(x))[:4_000]
     x[common] = x[common[0]]
-    assert ann.SHARE * 8_001 > ann.LEAST
     got = recall(spark, x)
     assert all(got[q] == 1 for q in got if q in set(common.tolist()))
     assert np.mean([got[q] for q in got if q not in set(common.tolist())]) >= 0.9
 
 
-@pytest.mark.parametrize("clusters", [0, 50])
-def test_recall_at_the_production_share(spark, clusters):
-    """Above LEAST / SHARE rows, where a search is bounded by SHARE."""
+@pytest.mark.parametrize("n, clusters", [(500, 0), (2_000, 0), (9_000, 0), (9_000, 50)])
+def test_recall_at_the_production_share(spark, n, clusters):
     rng = np.random.default_rng(4)
-    x = rng.normal(size=(9_000, 64))
+    x = rng.normal(size=(n, 64))
     if clusters:
         x = 0.25 * x + rng.normal(size=(clusters, 64))[rng.integers(0, clusters, len(x))]
-    assert ann.SHARE * len(x) > ann.LEAST
     assert np.mean(list(recall(spark, x).values())) >= 0.9
+
+
+def test_an_id_with_two_vectors_asks_with_the_least(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=3).tolist()) for i in range(60)] + [(0, [5.0, 5.0, 5.0]), (0, [-9.0, 0.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r["rank"], r.vec_id, r.score) for r in ann.digest(vectors).orderBy("query_id", "rank").collect()]
+    assert got == [(r["rank"], r.vec_id, r.score) for r in ann.digest(vectors.repartition(3)).orderBy("query_id", "rank").collect()]
+    least = np.array(min(v for i, v in rows if i == 0))
+    d = sorted((float(np.sqrt(((np.array(v) - least) ** 2).sum())), i) for i, v in rows if i != 0)
+    assert [(v, pytest.approx(s)) for _, v, s in got] == [(i, x) for x, i in d[:10]]
+
+
+def test_quality_learns_from_whole_texts(spark):
+    """The last words of a very long text teach too, and the tasks' sums equal those in memory."""
+    long = "lorem ipsum " * 30_000 + "zebra quagga zebra quagga"
+    rows = [(i, "good words here " * (i % 5 + 1)) for i in range(40)] + [(99, long), (99, long)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    texts = quality.training_texts(docs, labels).collect()
+    assert max(len(r.text) for r in texts) == len(long)
+    assert len(texts) == len({i for i, _ in rows if zlib.crc32(str(i).encode()) % 5})
+    model, plain = quality.learn(docs, labels), quality.Model()
+    plain.fit_vectors(*quality.buffer(pa.array([r.text for r in texts], pa.large_string())))
+    assert (model.words == plain.words).all() and (model.vectors == plain.vectors).all()
+
+
+def test_language_sample_is_of_different_texts_and_many_labels(spark):
+    """Copies don't fill the sample; a stretch may begin anywhere; 300 labels stay within the bound."""
+    rows = [("aa", f"lo ra mi ten {i}" + "b" * i) for i in range(30)] + [("aa", "copy of one text")] * 500
+    model = language_id.learn(spark.createDataFrame(rows, "lang string, text string"), train_docs=20, train_chars=4_000)
+    assert model.phrases(["lo ra mi ten"])[0, 0] <= 2
+    head = [("aa", "x " * 5_000 + "lorami " * 60_000), ("bb", "y " * 5_000 + "schung " * 60_000)]
+    late = language_id.learn(spark.createDataFrame(head, "lang string, text string"))
+    assert late.predict(["lorami lorami", "schung schung"])[0] == ["aa", "bb"]
+    many = [(f"l{j:03}", " ".join(chr(97 + (j * 7 + i * i) % 26) * 2 + chr(97 + (j + i) % 26) for i in range(200))) for j in range(300)]
+    wide = language_id.learn(spark.createDataFrame(many, "lang string, text string"))
+    assert len(wide.languages) == 300 and len(wide.table) <= 2 * (language_id.TRAIN_CHARS + 300) * wide.width
