@@ -175,6 +175,7 @@ def schema_tests() -> str:
 
 def registry() -> dict[str, str]:
     out = {f"dq_{n}": dq_suite(n) for n in SUITES}
+    out["dq_landed"] = " UNION ALL ".join(f"SELECT * FROM ({sql}) t{i}" for i, sql in enumerate(out.values()))
     out["dq_summary"] = dq_summary()
     out["dq_text_numerics"] = text_numerics()
     out["schema_tests"] = schema_tests()

@@ -96,6 +96,14 @@ def registry() -> dict[str, str]:
             "SELECT 'exposure_amount' AS columns, count(*)::BIGINT AS records FROM src_loans WHERE internal_rating = 'CCC'",
             ("src_loans",)),
         "published_table": with_ctes(final("stg_capital", CAP_D, dates=RD_ONLY), ("stg_capital",)),
+        "sql_macros": with_ctes("""
+            SELECT 'loan' AS kind, loan_id AS id, CAST(el AS DOUBLE) AS amount,
+              CAST(round(ead_estimate * 0.105, 2) AS DOUBLE) AS required, coalesce(bucket, 'Unrated') AS label
+            FROM stg_loans JOIN loan_measures ON m_loan = loan_id
+            UNION ALL
+            SELECT 'entity', entity_id || ' ' || reporting_period, CAST(cet1_capital AS DOUBLE),
+              CAST(round(risk_weighted_assets * 0.08, 2) AS DOUBLE), capital_adequacy_status FROM capital_adequacy
+            """, ("stg_loans", "loan_measures", "capital_adequacy")),
         "rwa_standardized": with_ctes(final("f_rwa_std", RWA_D), ("f_rwa_std",)),
         "capital_ratios": with_ctes(final("f_capital_ratios", (
             "total_capital_calc", "cet1_ratio_calc", "tier1_ratio_calc", "total_capital_ratio_calc")),

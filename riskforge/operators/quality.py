@@ -2,7 +2,7 @@
 tests on sources and models.
 
 The counters of a suite are one aggregate without keys over its table (one
-partial row for each task). A uniqueness check is a group-by on its column
+partial row for each task), or are gathered while the table is written (``land``). A uniqueness check is a group-by on its column
 alone, and the offending values of all in-set checks are found in one further
 pass that shuffles only them. The results are a row for each check. Percentages are exact: they are derived from
 integer counts, so the pass/fail cut and the two-decimal text never depend
@@ -15,7 +15,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -226,12 +228,30 @@ def _examples(df: DataFrame, checks: list[Check]) -> DataFrame:
     return first.groupBy("check_no").agg(F.concat(F.lit("["), F.array_join(listed, ", "), F.lit("]")).alias("examples"))
 
 
-def run_suite(name: str, df: DataFrame, checks: list[Check], with_examples: bool = True) -> DataFrame:
+def land(df: DataFrame, checks: list[Check], write: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Write a table and gather its suite's counters on the way (no scan of
+    their own): the table as ``write`` gives it back, and the one-row counters
+    for ``run_suite``.
+
+    ``write`` must run one action that reads every row of what it is given once.
+    The rows are counted where they are written, in the last stage of that
+    action, whose tasks count once also when they are tried again."""
+    seen = Observation()
+    stored = write(df.observe(seen, *_measures(df, checks)))
+    found = seen.get
+    schema = T.StructType([T.StructField(name, T.LongType()) for name in found])
+    return stored, df.sparkSession.createDataFrame([tuple(found.values())], schema)
+
+
+def run_suite(
+    name: str, df: DataFrame, checks: list[Check], with_examples: bool = True, counters: DataFrame | None = None
+) -> DataFrame:
     """Rows (suite, check_no, check, status, detail), one per check.
 
     ``with_examples=False`` leaves the offending-value examples out of the
     in-set details (and their scan out of the plan) when only the statuses
-    are needed."""
+    are needed. ``counters`` are those of ``land``; without them they are
+    counted here."""
 
     def row(i: int, ck: Check) -> Column:
         ok, detail = _result(ck, i)
@@ -244,7 +264,9 @@ def run_suite(name: str, df: DataFrame, checks: list[Check], with_examples: bool
         )
 
     counted = [(i, ck) for i, ck in enumerate(checks) if ck.kind != "unique"]
-    res = df.agg(*_measures(df, checks)).select(F.explode(F.array(*[row(i, ck) for i, ck in counted])).alias("r")).select("r.*")
+    if counters is None:
+        counters = df.agg(*_measures(df, checks))
+    res = counters.select(F.explode(F.array(*[row(i, ck) for i, ck in counted])).alias("r")).select("r.*")
     for i, ck in enumerate(checks):
         if ck.kind == "unique":
             # rows after the first of each value; NULLs count as one value

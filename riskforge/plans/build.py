@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskforge.config import DEFAULT_STRESS, DEFAULT_THRESHOLDS, StressConfig, Thresholds
+from riskforge.functions import macros
 from riskforge.operators import marts, staging
 from riskforge.session import warehouse_path
 
@@ -199,9 +200,11 @@ class Build:
 
     def register_views(self, prefix: str = "") -> list[str]:
         """Expose every source and model as a temp view (``loan_portfolio``
-        ... ``fct_liquidity_coverage``), so SQL written against the model
-        names runs through ``spark.sql`` without materializing anything."""
+        ... ``fct_liquidity_coverage``) and the macros as SQL functions, so SQL
+        written against the model names runs through ``spark.sql`` without
+        materializing anything."""
         names = []
+        macros.register(self.raw["loan_portfolio"].sparkSession, self.thresholds)
         for name, df in self.schema_test_tables().items():
             df.createOrReplaceTempView(prefix + name)
             names.append(prefix + name)

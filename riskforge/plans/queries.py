@@ -105,6 +105,40 @@ def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM {schema}.capital")
 
 
+MACROS_SQL = """
+SELECT 'loan' AS kind, loan_id AS id, calculate_expected_loss(pd_estimate, lgd_estimate, ead_estimate) AS amount,
+  capital_requirement(ead_estimate, 0.105) AS required, rating_bucket(internal_rating) AS label
+FROM {p}stg_loan_portfolio
+UNION ALL
+SELECT 'entity', concat(entity_id, ' ', reporting_period), cet1_capital,
+  capital_requirement(risk_weighted_assets), capital_adequacy_status(cet1_ratio)
+FROM {p}stg_capital_components
+"""
+
+
+def _sql_macros(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Analyst SQL that calls the four macros, over the registered views."""
+    Build.from_testdata(spark, sf_dir, audit=False).register_views("macros_")
+    return comparable(spark.sql(MACROS_SQL.format(p="macros_")))
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five suites over tables whose counters were gathered while they were written."""
+    base = warehouse_path(spark, f"landed/{uuid.uuid4().hex}")
+    raw = Build.from_testdata(spark, sf_dir, audit=False).raw
+    out = None
+    for name, checks in quality.SUITES.items():
+
+        def write(df: DataFrame, path: str = f"{base}/{name}") -> DataFrame:
+            df.write.parquet(path)
+            return spark.read.schema(df.schema).parquet(path)
+
+        stored, counters = quality.land(raw[name], checks, write)
+        part = quality.run_suite(name, stored, checks, counters=counters)
+        out = part if out is None else out.unionByName(part)
+    return comparable(out)
+
+
 def _text_numerics(b: Build) -> DataFrame:
     """Numeric checks on a table whose numbers are text, some of it none."""
     rating = F.col("internal_rating")
@@ -158,6 +192,8 @@ def registry() -> dict[str, QueryFn]:
         "bulk_load_rejects": _bulk_rejects,
         "published_table": _published,
         "dq_text_numerics": _build_fn(_text_numerics),
+        "dq_landed": _landed,
+        "sql_macros": _sql_macros,
         # business formulas and macros
         "rwa_standardized": _build_fn(lambda b: formulas.rwa_standardized(b.stg_loan_portfolio)),
         "capital_ratios": _build_fn(lambda b: formulas.capital_ratios(b.stg_capital_components)),
