@@ -46,6 +46,8 @@ CCAR_D = ("total_baseline_ead", "total_stressed_ead", "avg_stressed_pd", "avg_st
           "total_expected_loss", "total_stressed_rwa", "total_capital_impact", "total_incremental_loss",
           "ead_stress_growth_pct", "stressed_loss_rate_pct")
 CCAR_I = ("scenario_year", "loan_count", "severity_rank", "scenario_order")
+LAST_TWO = """
+  WHERE reporting_period IN (SELECT DISTINCT reporting_period FROM {} ORDER BY reporting_period DESC NULLS LAST LIMIT 2)"""
 
 
 def registry() -> dict[str, str]:
@@ -95,6 +97,19 @@ def registry() -> dict[str, str]:
         "bulk_load_rejects": with_ctes(
             "SELECT 'exposure_amount' AS columns, count(*)::BIGINT AS records FROM src_loans WHERE internal_rating = 'CCC'",
             ("src_loans",)),
+        "credit_risk_enriched_bucketed": with_ctes(final("enriched", ENR_D, dates=LOAN_DATES), ("enriched",)),
+        "ccar_stress_test_bucketed": with_ctes(final("ccar", CCAR_D, CCAR_I, dates=RD_ONLY), ("ccar",)),
+        "report_stored_row_counts": with_ctes(
+            "SELECT table_schema, table_name, CAST(row_count AS BIGINT) AS row_count FROM r_row_counts WHERE table_schema <> 'STAGING'",
+            ("r_row_counts",)),
+        "rwa_report_refreshed": with_ctes(
+            final("rwa_report", RWA_REP_D, ("loan_count", "defaulted_loan_count", "watch_list_count"), dates=RD_ONLY),
+            ("rwa_report",)),
+        "capital_adequacy_carried": with_ctes(
+            final("capital_adequacy", CAPADQ_D, dates=RD_ONLY) + LAST_TWO.format("capital_adequacy"), ("capital_adequacy",)),
+        "liquidity_coverage_carried": with_ctes(
+            final("liquidity", LIQ_D, dates=RD_ONLY) + LAST_TWO.format("liquidity"), ("liquidity",)),
+        "segment_drill_clustered": with_ctes(final("f_drill_worst", ENR_D, dates=LOAN_DATES), ("f_drill_worst",)),
         "published_table": with_ctes(final("stg_capital", CAP_D, dates=RD_ONLY), ("stg_capital",)),
         "sql_macros": with_ctes("""
             SELECT 'loan' AS kind, loan_id AS id, CAST(el AS DOUBLE) AS amount,

@@ -136,7 +136,11 @@ def basel3_rwa_report(enriched: DataFrame, keys=RWA_SEGMENT_KEYS, audit: bool =
     ]
     if audit:
         aggs.append(F.current_timestamp().alias("_model_run_at"))
-    seg = enriched.groupBy(*keys).agg(*aggs)
+    return segment_ratios(enriched.groupBy(*keys).agg(*aggs))
+
+
+def segment_ratios(seg: DataFrame) -> DataFrame:
+    """The mart's ratio columns, from the sums of each segment."""
     return seg.select(
         "*",
         F.round(ratio("total_expected_loss", "total_ead", 8) * 100, 4).alias("el_ratio_pct"),

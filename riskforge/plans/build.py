@@ -18,7 +18,9 @@ from riskforge.config import DEFAULT_STRESS, DEFAULT_THRESHOLDS, StressConfig, T
 from riskforge.functions import macros
 from riskforge.operators import marts, staging
 from riskforge.session import warehouse_path
+from riskforge.sources.bucketed import bucketed
 
+LOAN_KEYED = ("loan_portfolio", "rwa_components", "stress_scenarios")
 
 _GRAPHS: dict[tuple, "Build"] = {}
 _RAW: dict[tuple, dict[str, DataFrame]] = {}
@@ -133,6 +135,13 @@ class Build:
         names = ("loan_portfolio", "counterparties", "rwa_components", "capital_components", "stress_scenarios")
         return cls({n: load_table(spark, n, f"`{database}`.`{n}`") for n in names}, **kw)
 
+    def on_loan_key(self, base: str, buckets: int) -> "Build":
+        """The same graph over copies of the three loan tables that are bucketed
+        on ``loan_id`` under ``base``: loans meet RWA and stress rows without an
+        exchange."""
+        raw = {n: bucketed(df, base, n, "loan_id", buckets) if n in LOAN_KEYED else df for n, df in self.raw.items()}
+        return Build(raw, self.thresholds, self.stress, self.audit)
+
     # -- staging (views) ------------------------------------------------------
     @cached_property
     def stg_loan_portfolio(self) -> DataFrame:

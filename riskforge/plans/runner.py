@@ -17,6 +17,7 @@ from riskforge.operators import marts, quality, reports
 from riskforge.plans.build import Build
 from riskforge.session import warehouse_path
 from riskforge.sources.sinks import (
+    _join,
     materialize_table,
     materialize_view,
     register_table,
@@ -71,9 +72,13 @@ def run(
     if enforce_gate:
         quality.gate(details)
 
+    stored: dict[str, str] = {}
+
     def table(df: DataFrame, layer: str, name: str) -> DataFrame:
         written = materialize_table(df, warehouse, schema(layer), name, reporting_date=day)
         register_table(written, warehouse, schema(layer), name)
+        if day is None:  # a scoped table holds other dates too
+            stored[name] = _join(warehouse, schema(layer), name)
         return written
 
     # 2. staging views
@@ -137,7 +142,7 @@ def run(
     models = [(layer, name, out[name]) for layer, name, _ in build.models()]
     counts = timed(
         "report_row_counts",
-        lambda: materialize_table(reports.row_counts(models), warehouse, "reports", "row_counts",
+        lambda: materialize_table(reports.row_counts(models, stored=stored), warehouse, "reports", "row_counts",
                                   partition_by=None),
     )
     return {
