@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,33 +20,27 @@ from riskforge.functions import macros
 from riskforge.operators import marts, staging
 from riskforge.session import warehouse_path
 from riskforge.sources.bucketed import bucketed
+from riskforge.sources.testdata import TPCH_TABLES, Tables, raw_tables
 
+ROW_GROUP = 16 << 20  # bytes of a row group of a stored table: the least that a task can read of a file
 LOAN_KEYED = ("loan_portfolio", "rwa_components", "stress_scenarios")
 
 _GRAPHS: dict[tuple, "Build"] = {}
-_RAW: dict[tuple, dict[str, DataFrame]] = {}
+_RAW: dict[tuple, Tables] = {}
 
 
-def load_testdata_raw(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str, DataFrame]:
-    """The raw tables derived from ``sf_dir``; written and read back once per
-    session when ``materialize`` (lineage to the test tables is cut there)."""
-    from riskforge.sources.testdata import raw_tables
-
+def load_testdata_raw(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Tables:
+    """The raw tables derived from ``sf_dir``; with ``materialize`` each is written
+    and read back once per session, when a model first reads it (lineage to the
+    test tables is cut there)."""
     key = _state(spark, sf_dir, materialize)
     if key not in _RAW:
-        if materialize:
-            stored = _store(spark, key)
-            tables = raw_tables(spark, sf_dir, stored)
-            _RAW[key] = {name: stored(name, df) for name, df in tables.items()}
-        else:
-            _RAW[key] = raw_tables(spark, sf_dir)
+        _RAW[key] = raw_tables(spark, sf_dir, _store(spark, key) if materialize else None)
     return _RAW[key]
 
 
 def _state(spark: SparkSession, sf_dir: str, materialize: bool) -> tuple:
     """Names the input as it is now: files that are replaced give another key."""
-    from riskforge.sources.testdata import TPCH_TABLES
-
     conf = spark._jsc.hadoopConfiguration()
     files = []
     for name in TPCH_TABLES:
@@ -62,7 +57,8 @@ def _store(spark: SparkSession, key: tuple):
 
     def stored(name: str, df: DataFrame) -> DataFrame:
         path = f"{base}/{name}"
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        out = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        out.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     return stored
@@ -71,7 +67,7 @@ def _store(spark: SparkSession, key: tuple):
 class Build:
     def __init__(
         self,
-        raw: dict[str, DataFrame],
+        raw: Mapping[str, DataFrame],
         thresholds: Thresholds = DEFAULT_THRESHOLDS,
         stress: StressConfig = DEFAULT_STRESS,
         audit: bool = True,
@@ -90,10 +86,8 @@ class Build:
         reports and tests read the table."""
         if reporting_date is not None:
             day = F.lit(reporting_date).cast("date")
-            raw = {
-                name: df if name == "capital_components" else df.filter(F.col("reporting_date") == day)
-                for name, df in raw.items()
-            }
+            of_day = lambda name, df: df if name == "capital_components" else df.filter(F.col("reporting_date") == day)
+            raw = Tables({name: lambda name=name, all_days=raw: of_day(name, all_days[name]) for name in raw})
         self.raw = raw
         self.store = store
         self.thresholds = thresholds
@@ -105,10 +99,9 @@ class Build:
     def from_testdata(cls, spark: SparkSession, sf_dir: str, materialize: bool = True, **kw) -> "Build":
         """The graph over the test tables in ``sf_dir``.
 
-        With ``materialize`` the five raw tables are derived once per session
-        and written as parquet under the shared checkpoint folder (the raw
-        layer is loaded before any model runs, as a warehouse load would),
-        then read back: every model plans against written raw tables, with
+        With ``materialize`` each raw table that a model reads is derived once
+        per session and written as parquet under the shared checkpoint folder
+        (before the model runs, as a warehouse load would), then read back: every model plans against written raw tables, with
         pushdown, pruning and file statistics. Plans are immutable, so one
         graph per (session, directory, options) is shared by every query.
         """
@@ -137,9 +130,10 @@ class Build:
 
     def on_loan_key(self, base: str, buckets: int) -> "Build":
         """The same graph over copies of the three loan tables that are bucketed
-        on ``loan_id`` under ``base``: loans meet RWA and stress rows without an
-        exchange."""
-        raw = {n: bucketed(df, base, n, "loan_id", buckets) if n in LOAN_KEYED else df for n, df in self.raw.items()}
+        on ``loan_id`` under ``base``, each when a model first reads it: loans meet
+        RWA and stress rows without an exchange."""
+        deal = lambda n: bucketed(self.raw[n], base, n, "loan_id", buckets) if n in LOAN_KEYED else self.raw[n]
+        raw = Tables({n: lambda n=n: deal(n) for n in self.raw})
         return Build(raw, self.thresholds, self.stress, self.audit)
 
     # -- staging (views) ------------------------------------------------------

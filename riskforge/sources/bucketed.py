@@ -42,9 +42,9 @@ def bucketed(
     run = uuid.uuid4().hex
     path = _join(base, f"{name}_{run}")
     if not even(df, key, buckets, bucket_rows):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
     dealt = df.repartition(buckets, key)  # one task, so one file, for each bucket
     table = f"{name}_{run}"
-    dealt.write.bucketBy(buckets, key).sortBy(key).format("parquet").option("path", path).saveAsTable(table)
+    dealt.write.bucketBy(buckets, key).sortBy(key).format("parquet").option("compression", "zstd").option("path", path).saveAsTable(table)
     return spark.table(table)
