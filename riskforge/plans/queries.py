@@ -62,8 +62,11 @@ def _sorted_fn(fn: Callable[[Build], DataFrame]) -> QueryFn:
 LOW_BUFFER = replace(DEFAULT_STRESS, capital_buffer=Decimal("50000"))
 
 
+CSV_ROWS = 500_000  # of a file: a file whose fields may hold line breaks is read by one task
+
+
 def _write_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    df.write.option("maxRecordsPerFile", CSV_ROWS).option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
 def _csv_roundtrip(table: str) -> QueryFn:
