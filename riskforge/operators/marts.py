@@ -51,6 +51,13 @@ RWA_SEGMENT_KEYS = (
     "approach", "currency", "region",
 )
 
+# What the RWA mart reads of the enriched loans.
+RWA_MART_COLUMNS = RWA_SEGMENT_KEYS + (
+    "loan_id", "exposure_amount", "outstanding_balance", "ead_estimate", "collateral_value",
+    "credit_rwa", "operational_rwa", "market_rwa", "total_rwa", "capital_requirement",
+    "pd_estimate", "lgd_estimate", "expected_loss", "is_defaulted", "is_watch_list",
+)
+
 # Liquidity status labels (breach below the minimum, watch
 # within the band above it).
 LCR_BREACH = "LCR Breach — Immediate Action"

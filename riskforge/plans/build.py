@@ -170,9 +170,18 @@ class Build:
         df = self.credit_risk_enriched
         return self.store("int_credit_risk_enriched", df) if self.store else df
 
+    @cached_property
+    def rwa_mart_loans(self) -> DataFrame:
+        """The columns of the enriched loans that the RWA mart reads, stored: the
+        columns it does not read are then neither shuffled to the joins nor
+        written. Where the whole table is stored already, that one."""
+        if self.store is None or "enriched_table" in self.__dict__:
+            return self.enriched_table
+        return self.store("int_rwa_mart_loans", self.credit_risk_enriched.select(*marts.RWA_MART_COLUMNS))
+
     @cached_property
     def basel3_rwa_report(self) -> DataFrame:
-        return marts.basel3_rwa_report(self.enriched_table, audit=self.audit)
+        return marts.basel3_rwa_report(self.rwa_mart_loans, audit=self.audit)
 
     @cached_property
     def basel3_rwa_report_by_sector(self) -> DataFrame:
