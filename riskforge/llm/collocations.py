@@ -44,14 +44,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskforge.llm.common import spread, stored, text_or_empty
+from riskforge.llm.common import arrow_rows, spread, stored, text_or_empty
 from riskforge.llm.words import buffer, find, groups, mix64, ordered_ids
 
 LEAST = 10
 TOP = 2000
 SHARE = 8  # one document in so many is sampled
 BITS = 1 << 25
-CHUNK = 1 << 21
+CHUNK = 1 << 20
+TEXTS = 1000  # of a batch that comes from Spark
 ROWS = 1 << 15  # of a batch that goes back to Spark
 
 _LOWER = np.arange(256, dtype=np.uint16)
@@ -227,11 +228,13 @@ def mine(docs: DataFrame, least: int = LEAST, share: int = SHARE, bits: int = BI
     keyed = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), text_or_empty().alias("text"), "doc_id")
     sample = keyed.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0).select("lang", "text")
     lowered = max(2, 3 * least // (4 * share))
-    now = _filters(_count(sample).filter((F.col("n") >= lowered) & F.col("w1").isNotNull()), bits)
+    with arrow_rows(docs.sparkSession, TEXTS):
+        now = _filters(_count(sample).filter((F.col("n") >= lowered) & F.col("w1").isNotNull()), bits)
     before, found = None, None
     while True:
         sent = context.broadcast(now)
-        counts = stored(_count(rows, sent, before).filter((F.col("n") >= least) | F.col("w1").isNull()), "phrases")
+        with arrow_rows(docs.sparkSession, TEXTS):
+            counts = stored(_count(rows, sent, before).filter((F.col("n") >= least) | F.col("w1").isNull()), "phrases")
         found = counts if found is None else found.unionByName(counts)
         gained = _filters(counts.filter("w1 is not null and w3 is null"), bits)
         after = tuple(a | b for a, b in zip(now, gained))

@@ -63,3 +63,23 @@ def test_empty_table_and_query(spark):
     assert C.collocations(cases.none(spark)).count() == 0
     rows = [(r.lang, r.text) for r in spark.read.parquet(f"{cases.SF}/documents.parquet").select("lang", "text").collect()]
     assert sorted(map(tuple, E.queries()["op11_collocations"](spark, cases.SF).collect())) == expected(rows, 10, 2000)
+
+
+def test_texts_reach_tasks_in_bounded_batches(spark, monkeypatch):
+    key, kept, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", C.stored, []
+    before = spark.conf.get(key)
+
+    def rows_of(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    def stored(df, name):
+        seen.append(max(r.n for r in spark.range(2500).coalesce(1).mapInArrow(rows_of, "n bigint").collect()))
+        return kept(df, name)
+
+    monkeypatch.setattr(C, "stored", stored)
+    docs = spark.createDataFrame([(i, "one two three", "en") for i in range(20)], "doc_id bigint, text string, lang string")
+    assert C.mine(docs, least=10).count() == 7  # three words, two pairs, a triple, the total
+    assert seen and max(seen) <= C.TEXTS and spark.conf.get(key) == before
