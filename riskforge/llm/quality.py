@@ -217,9 +217,27 @@ def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, n
             yield batch.slice(a, b - a), data[at[a] : at[b]], at[a : b + 1] - at[a]
 
 
+def word_sums(texts: DataFrame, model: Model) -> DataFrame:
+    """(id, seen, s0, s1, ...): ``Model.around`` over all texts, one row for each token found."""
+    columns = ["seen", *(f"s{j}" for j in range(DIM))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = 0, 0
+        for _, data, at in _each(batches):
+            more = model.around(data, at)
+            total, seen = total + more[0], seen + more[1]
+        ids = np.flatnonzero(seen)
+        if len(ids):
+            numbers = np.column_stack([seen[ids], total[ids]]).astype(np.int64)  # whole numbers
+            yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), *map(pa.array, numbers.T.copy())], ["id", *columns])
+
+    each = texts.mapInArrow(run, "id int, " + ", ".join(f"{c} bigint" for c in columns))
+    return each.groupBy("id").agg(*(F.sum(c).alias(c) for c in columns))
+
+
 def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """A model from the labelled documents outside the held-out fold. Texts are
-    read in tasks; the driver gets the commonest words, ``TRAIN_TASKS`` sums of
+    read in tasks; the driver gets the commonest words, the sums of each of their
     word vectors and one vector of each text."""
     ship(docs.sparkSession)
     texts = training_texts(docs, labels, train_rows)
@@ -242,16 +260,11 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
     )
     model.choose_words(np.array([r.h for r in common], np.int64).view(np.uint64) ^ top, np.array([r.n for r in common], np.int64))
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [model.around(data, at) for _, data, at in _each(batches)]
-        if parts:
-            total, seen = sum(p[0] for p in parts), sum(p[1] for p in parts)
-            yield pa.RecordBatch.from_pydict({"total": pa.array([total.tobytes()]), "seen": pa.array([seen.tobytes()])})
-
-    parts = texts.mapInArrow(sums, "total binary, seen binary").collect()
-    model.set_vectors(
-        sum(np.frombuffer(p.total).reshape(-1, DIM) for p in parts), sum(np.frombuffer(p.seen) for p in parts)
-    )
+    parts = word_sums(texts, model).collect()  # a row for each token at most, however many tasks there are
+    total, seen = np.zeros((_SHAPES + len(model.words), DIM)), np.zeros(_SHAPES + len(model.words))
+    for id_, n, *sums in parts:
+        total[id_], seen[id_] = sums, n
+    model.set_vectors(total, seen)
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, at in _each(batches):

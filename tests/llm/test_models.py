@@ -1,6 +1,7 @@
 """Language ID, quality, HTML extraction, neighbours: accuracy, brute force,
 hard rows."""
 
+import pickle
 import random
 import zlib
 
@@ -8,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 import __spark_entry__ as E
 from riskforge.llm import ann, html_extraction, labelled_pages, language_id, quality
@@ -321,3 +323,26 @@ def test_language_sample_is_of_different_texts_and_many_labels(spark):
     many = [(f"l{j:03}", " ".join(chr(97 + (j * 7 + i * i) % 26) * 2 + chr(97 + (j + i) % 26) for i in range(200))) for j in range(300)]
     wide = language_id.learn(spark.createDataFrame(many, "lang string, text string"))
     assert len(wide.languages) == 300 and len(wide.table) <= 2 * (language_id.TRAIN_CHARS + 300) * wide.width
+
+
+def test_quality_sends_the_driver_no_sums_of_each_task(spark, monkeypatch):
+    """What is collected doesn't grow with the number of tasks, and the model is the same."""
+    rows = [(i, f"word{i % 9} and word{i % 7} near word{i % 5}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    collect, sizes = DataFrame.collect, []
+
+    def seen(self):
+        out = collect(self)
+        sizes.append(len(pickle.dumps([tuple(r) for r in out])))
+        return out
+
+    monkeypatch.setattr(DataFrame, "collect", seen)
+    found = []
+    for tasks in (2, 40):
+        monkeypatch.setattr(quality, "TRAIN_TASKS", tasks)
+        model = quality.learn(docs, labels)
+        found.append((model.words, model.vectors, sum(sizes)))
+        sizes.clear()
+    assert (found[0][0] == found[1][0]).all() and (found[0][1] == found[1][1]).all()
+    assert found[1][2] <= 1.1 * found[0][2]
