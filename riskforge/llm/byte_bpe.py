@@ -4,9 +4,9 @@ The library's pre-tokenizer cuts a text into pieces that are encoded on their
 own, so a piece needs encoding once for all its occurrences. Here the pieces of
 many texts are found at once in numpy by the pre-tokenizer's rule (classes of
 code points are asked from the library itself), new pieces are encoded by the
-library, and the ids of all texts are put together from the pieces' ids. The
-result is the library's. Texts that hold an added token's string go to the
-library whole.
+library's model of the file, and the ids of all texts are put together from the
+pieces' ids. The result is the library's. Texts that hold an added token's
+string go to the library whole.
 """
 
 from __future__ import annotations
@@ -21,6 +21,10 @@ import numpy as np
 from riskforge.llm.words import _power, mix64, ordered_ids
 
 _SPACE, _LETTER, _NUMBER, _OTHER, _UNSEEN = 0, 1, 2, 3, 255
+#: The signs by which a byte-level model knows the bytes: what Latin-1 prints stands for itself.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+SIGNS = {x: chr(x) for x in _PRINTED} | {x: chr(256 + k) for k, x in enumerate(x for x in range(256) if x not in _PRINTED)}
+_SIGN_OF = "".join(SIGNS[x] for x in range(256))
 #: Pieces whose ids are remembered in a worker.
 REMEMBERED = 300_000
 
@@ -39,6 +43,8 @@ class Encoder:
             and pre.get("type") == "ByteLevel"
             and not pre.get("add_prefix_space")
             and pre.get("use_regex", True)
+            and rule.get("truncation") is None
+            and rule.get("padding") is None
         )
         self.added = [t["content"] for t in rule.get("added_tokens", []) if not (plain_text and t.get("special"))]
         self.classes = np.full(0x110000, _UNSEEN, np.uint8)
@@ -144,7 +150,8 @@ class Encoder:
         return ids, counts
 
     def _learn(self, values: np.ndarray, pieces: list[str]) -> None:
-        lists = [e.ids for e in self.library.encode_batch(pieces, add_special_tokens=False)]
+        tokens = self.library.model.tokenize  # a piece has nothing to normalize or cut
+        lists = [[t.id for t in tokens(x.encode().decode("latin-1").translate(_SIGN_OF))] for x in pieces]
         sizes = np.array([len(x) for x in lists], np.int64)
         flat = np.array(list(chain.from_iterable(lists)), np.uint32)
         begin = len(self.ids) + np.cumsum(sizes) - sizes

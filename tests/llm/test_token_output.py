@@ -92,3 +92,17 @@ def test_several_files_and_hard_rows(spark, library, tmp_path):
         found |= token_output.lookup(r.path, [2004, 2009])
     assert {k: v.tolist() for k, v in found.items()} == {k: ids_of(library, one[k]) for k in (2004, 2009)}
     assert token_output.digest(spark, cases.none(spark)).collect() == []
+
+
+def test_new_pieces_make_no_whole_encodings(monkeypatch):
+    """Pieces met for the first time go to the library's model alone, with the library's ids."""
+    own = Encoder(token_output.default_tokenizer())
+    texts = ["one  new\tword,漢字 and é😀\x00 it's 12½", " again one", "", "\n \n"]
+    want = [own.library.encode(t, add_special_tokens=False).ids for t in texts]
+
+    class Model:
+        model, pre_tokenizer = own.library.model, own.library.pre_tokenizer
+
+    monkeypatch.setattr(own, "library", Model)
+    ids, counts = own.encode(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
