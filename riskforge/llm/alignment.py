@@ -7,9 +7,10 @@ token of A and one of B end cut the tokens into groups.
 
 Method: diagonal run skipping. With i tokens of A and j of B behind, the ends
 from i and from j on are compared as slices at this shift; while they agree the
-slice doubles, then it is halved, so a one-to-one stretch is jumped. Where they
-part, the irregular group is walked token by token to the next common end, and
-the shift is the new one.
+slice doubles, then it is halved, so a one-to-one stretch is jumped but for its
+last few tokens. Where they part, the irregular group is walked token by token to
+the next common end, and the shift is the new one. Many texts are aligned in a
+row, as the last tokens of each end together.
 
 Two tokens that end together are linked. Links are counted over the corpus for
 each pair of ids: every block of documents (stored, see ``blocks``) asks once for
@@ -28,6 +29,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskforge.llm.blocks import lists
-from riskforge.llm.byte_bpe import encoder
+from riskforge.llm.byte_bpe import SIGNS, encoder
 from riskforge.llm.common import small_side, spread, stored, text_or_empty
 from riskforge.llm.words import groups
 
 CHUNK = 1 << 19
 #: Rows of the pair table (24 bytes each) up to which it is broadcast.
 PAIRS = 1_000_000
+_FIRST = 8  # tokens of a run's first slice
 
 
 def default_tokenizers() -> tuple[str, str]:
@@ -76,10 +79,7 @@ class Tokenizers:
 
         self.a = encoder(a, True)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b)
-        # the printable sign of each byte: itself where Latin-1 prints it, else from U+0100 on
-        printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        rest = [x for x in range(256) if x not in printed]
-        sign = {chr(x): x for x in printed} | {chr(256 + k): x for k, x in enumerate(rest)}
+        sign = {c: x for x, c in SIGNS.items()}
         n = max(self.a.library.get_vocab(True).values()) + 1
         entries = [self.a.library.id_to_token(i) or "" for i in range(n)]
         self.a_bytes = Bytes([bytes(sign[c] for c in t) if all(c in sign for c in t) else t.encode() for t in entries])
@@ -88,10 +88,12 @@ class Tokenizers:
         self.b_bytes = Bytes([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)])
         self.a_digits, self.b_digits = _digits(n), _digits(m)
 
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        ids, counts = self.a.encode([" " + t for t in texts])
-        b = [np.array(x, np.int64) for x in self.b.encode(texts, num_threads=1)]
-        return np.split(ids.astype(np.int64), np.cumsum(counts)[:-1]), b
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A of all texts in a row and the number of each text's; those of B."""
+        a, n_a = self.a.encode([" " + t for t in texts])
+        b = self.b.encode(texts, num_threads=1)
+        n_b = np.array([len(x) for x in b], np.int64)
+        return a.astype(np.int64), n_a, np.fromiter(chain.from_iterable(b), np.int64, n_b.sum()), n_b
 
 
 @cache
@@ -104,7 +106,7 @@ def align(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]
     lists rise and end alike; a mark that differs is put behind each."""
     n, i, j = len(ends_a), 0, 0
     ends_a, ends_b = [*ends_a, -1], [*ends_b, -2]
-    from_a, from_b, runs = [], [], []
+    runs = []
     while i < n:
         x, y = ends_a[i], ends_b[j]
         while x != y:  # inside an irregular group
@@ -116,50 +118,79 @@ def align(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]
                 y = ends_b[j]
         p, q = i + 1, j + 1
         if ends_a[p] == ends_b[q]:  # a stretch at the new shift
-            width = 1
+            width = _FIRST
             while ends_a[p : p + width] == ends_b[q : q + width]:
                 p += width
                 q += width
                 width *= 2
-            while width > 1:  # it ends inside the last slice
+            while width > _FIRST:  # it ends inside the last slice
                 width //= 2
                 if ends_a[p : p + width] == ends_b[q : q + width]:
                     p += width
                     q += width
-        from_a.append(i)
-        from_b.append(j)
-        runs.append(p - i)
+            while ends_a[p] == ends_b[q]:
+                p += 1
+                q += 1
+        runs += (i, j, p - i)
         i, j = p, q
-    length = np.array(runs, np.int64)
+    from_a, from_b, length = np.array(runs, np.int64).reshape(-1, 3).T
     within = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-    return np.repeat(np.array(from_a, np.int64), length) + within, np.repeat(np.array(from_b, np.int64), length) + within
+    return np.repeat(from_a, length) + within, np.repeat(from_b, length) + within
 
 
-def _written(own: Tokenizers, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> bytes:
-    """``a1,a2|b1;a3|b2,b3`` for the groups that end at these tokens."""
+def _written(
+    own: Tokenizers, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray
+) -> tuple[bytes, np.ndarray]:
+    """``a1,a2|b1;a3|b2,b3`` of each text, in a row, for the groups that end at
+    these tokens, and where each text's begins and the last ends."""
     x, y = own.a_digits[a], own.b_digits[b]
     x[:, -1] = y[:, -1] = ord(",")
     x[at_a, -1] = ord("|")
-    y[at_b[:-1], -1] = ord(";")
-    y[-1, -1] = 0
+    y[at_b, -1] = ord(";")
+    y[np.cumsum(n_b)[n_b > 0] - 1, -1] = 0
     wide = max(x.shape[1], y.shape[1])
     out = np.zeros((len(a) + len(b), wide), np.uint8)
-    group_a = np.searchsorted(at_a, np.arange(len(a)))
-    group_b = np.searchsorted(at_b, np.arange(len(b)))
-    before_a, before_b = np.append(0, at_a[:-1] + 1), np.append(0, at_b[:-1] + 1)  # tokens of earlier groups
+    end_a, end_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+    end_a[at_a] = end_b[at_b] = 1
+    group_a, group_b = np.cumsum(end_a) - end_a, np.cumsum(end_b) - end_b
+    before_b = np.append(0, at_b[:-1] + 1)  # tokens of earlier groups
     out[np.arange(len(a)) + before_b[group_a], : x.shape[1]] = x
     out[np.arange(len(b)) + at_a[group_b] + 1, : y.shape[1]] = y
+    signs = np.append(0, np.cumsum(np.count_nonzero(out, axis=1)))
     flat = out.ravel()
-    return flat[flat != 0].tobytes()
-
-
-def _aligned(own: Tokenizers, text: str, a: np.ndarray, b: np.ndarray):
-    """Linked places and the written groups, or None where the bytes differ."""
-    raw = np.frombuffer(b" " + text.encode(), np.uint8)
-    if not text or not np.array_equal(own.a_bytes.of(a), raw) or not np.array_equal(own.b_bytes.of(b), raw):
-        return None
+    return flat[flat != 0].tobytes(), signs[np.append(0, np.cumsum(n_a + n_b))]
+
+
+def _given_back(own: Tokenizers, texts: list[str], a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Flags of the texts, not empty, that both tokenizers give back byte for byte."""
+    raw = [b" " + t.encode() for t in texts]
+    sizes = np.array([len(r) for r in raw], np.int64)
+    sides = ((own.a_bytes, a, n_a), (own.b_bytes, b, n_b))
+    good = sizes > 1
+    for tokens, ids, n in sides:
+        ends = np.append(0, np.cumsum(tokens.sizes[ids]))
+        good &= np.diff(ends[np.append(0, np.cumsum(n))]) == sizes
+    for tokens, ids, n in sides:
+        rows = np.flatnonzero(good)
+        whole = np.frombuffer(b"".join(raw[k] for k in rows.tolist()), np.uint8)
+        differ = np.flatnonzero(tokens.of(ids[np.repeat(good, n)]) != whole)
+        good[rows[np.searchsorted(np.cumsum(sizes[rows]), differ, "right")]] = False
+    return good
+
+
+def _aligned(own: Tokenizers, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """For each text the numbers of tokens of A, of B and of groups, and the
+    digest; the linked pairs of ids of all texts in order."""
+    a, n_a, b, n_b = own.encode(texts)
+    good = _given_back(own, texts, a, n_a, b, n_b)
+    a, b, n_a, n_b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)], n_a * good, n_b * good
+    if not len(a):
+        return np.zeros((3, len(texts)), np.int64), [""] * len(texts), a
     at_a, at_b = align(np.cumsum(own.a_bytes.sizes[a]).tolist(), np.cumsum(own.b_bytes.sizes[b]).tolist())
-    return at_a, at_b, _written(own, a, b, at_a, at_b)
+    n_groups = np.diff(np.searchsorted(at_a, np.append(0, np.cumsum(n_a))))
+    written, at = _written(own, a, n_a, b, n_b, at_a, at_b)
+    digests = [hashlib.sha256(written[x:y]).hexdigest() if y > x else "" for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
+    return np.stack([n_a, n_b, n_groups]), digests, a[at_a] << 32 | b[at_b]
 
 
 _BLOCK = "doc_ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, digests array<string>, links array<int>, a array<int>, b array<int>, n array<bigint>"
@@ -175,15 +206,7 @@ def _encode(a_path: str, b_path: str):
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for low, high in groups(np.array([len(t) for t in texts], np.int64), CHUNK):
-                rows, digests, linked = np.zeros((3, high - low), np.int64), [], []
-                for k, (text, a, b) in enumerate(zip(texts[low:high], *own.encode(texts[low:high]))):
-                    found = _aligned(own, text, a, b)
-                    if found:
-                        at_a, at_b, written = found
-                        rows[:, k] = len(a), len(b), len(at_a)
-                        linked.append(a[at_a] << 32 | b[at_b])
-                    digests.append(hashlib.sha256(written).hexdigest() if found else "")
-                links = np.concatenate([*linked, np.zeros(0, np.int64)])
+                rows, digests, links = _aligned(own, texts[low:high])
                 pairs, which, n = np.unique(links, return_inverse=True, return_counts=True)
                 whole = np.zeros(1, np.int64)
                 columns = [pa.ListArray.from_arrays(pa.array([0, high - low], pa.int32()), batch.column("doc_id").slice(low, high - low))]
