@@ -108,3 +108,17 @@ def test_empty_table_and_query(spark):
     got = {r.doc_id: tuple(r)[1:] for r in E.queries()["op13_alignment"](spark, cases.SF).collect()}
     for r, w in zip(docs, want):
         assert got[r.doc_id] == w
+
+
+def test_texts_of_a_chunk_are_aligned_in_a_row(monkeypatch):
+    """One pass over many texts gives each text what it gets alone, with texts between that are not given back."""
+    own = A.tokenizers(*PATHS)
+    texts = ["one two three", "", "a  b\tc", "ﬁne ½", "a▁b", "\x00", "unbelievable 12,5 漢字 é", "x", "one two three", "ab" * 300]
+    calls, plain = [], A.align
+    monkeypatch.setattr(A, "align", lambda *ends: calls.append(1) or plain(*ends))
+    rows, digests, links = A._aligned(own, texts)
+    assert len(calls) == 1
+    alone = [A._aligned(own, [t]) for t in texts]
+    assert rows.T.tolist() == [r[0][:, 0].tolist() for r in alone] and digests == [r[1][0] for r in alone]
+    assert links.tolist() == [x for r in alone for x in r[2].tolist()]
+    assert [bool(d) for d in digests].count(False) >= 2
