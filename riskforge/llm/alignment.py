@@ -17,6 +17,11 @@ each pair of ids: every block of documents (stored, see ``blocks``) asks once fo
 each distinct pair it holds. The pair table is bounded by the two vocabularies; it is
 broadcast when it was counted to be small, and joined by shuffle otherwise.
 
+Memory: a block is a row of some megabytes. Rows go to the Python functions in
+batches of bounded bytes, a block is aligned slice by slice, and the row groups of
+the stored blocks hold few of them, so that neither Spark's memory nor a worker's
+grows with the rows of a split.
+
 Edge cases: a text that is null or empty, or that a tokenizer does not give back
 byte for byte, has no tokens: numbers 0 and an empty digest; strings of special
 tokens are text; null or repeated doc_ids and repeated rows are rows on their
@@ -38,10 +43,16 @@ from pyspark.sql import functions as F
 
 from riskforge.llm.blocks import lists
 from riskforge.llm.byte_bpe import SIGNS, encoder
-from riskforge.llm.common import small_side, spread, stored, text_or_empty
+from riskforge.llm.common import arrow_bytes, small_side, spread, stored, text_or_empty
 from riskforge.llm.words import groups
 
+#: Signs and texts of a block, a longer text is a block of its own; signs aligned in a row.
 CHUNK = 1 << 19
+TEXTS = 10_000
+SLICE = 1 << 17
+#: Bytes handed to a Python function at a time; blocks in a row group of the stored table.
+BATCH = 1 << 22
+ROW_GROUP = 8
 #: Rows of the pair table (24 bytes each) up to which it is broadcast.
 PAIRS = 1_000_000
 _FIRST = 8  # tokens of a run's first slice
@@ -197,23 +208,37 @@ _BLOCK = "doc_ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups
 _DOCS = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], list[str]]]:
+    """doc_ids and texts of each block, whatever the batches they come in."""
+    doc_ids, texts, size = [], [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            if texts and (size + len(text) > CHUNK or len(texts) == TEXTS):
+                yield doc_ids, texts
+                doc_ids, texts, size = [], [], 0
+            doc_ids.append(doc_id)
+            texts.append(text)
+            size += len(text)
+    if texts:
+        yield doc_ids, texts
+
+
 def _encode(a_path: str, b_path: str):
     """Blocks of aligned documents: their links as places in the block's list of
     distinct pairs, and how often each pair is linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizers(a_path, b_path)
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for low, high in groups(np.array([len(t) for t in texts], np.int64), CHUNK):
-                rows, digests, links = _aligned(own, texts[low:high])
-                pairs, which, n = np.unique(links, return_inverse=True, return_counts=True)
-                whole = np.zeros(1, np.int64)
-                columns = [pa.ListArray.from_arrays(pa.array([0, high - low], pa.int32()), batch.column("doc_id").slice(low, high - low))]
-                columns += [lists(whole, r) for r in rows]
-                columns += [pa.array([digests], pa.list_(pa.string())), lists(whole, which.astype(np.int32))]
-                columns += [lists(whole, (pairs >> 32).astype(np.int32)), lists(whole, (pairs & 0xFFFFFFFF).astype(np.int32)), lists(whole, n)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_ids", "n_a", "n_b", "n_groups", "digests", "links", "a", "b", "n"])
+        for doc_ids, texts in _chunks(batches):
+            parts = [_aligned(own, texts[low:high]) for low, high in groups(np.array([len(t) for t in texts], np.int64), SLICE)]
+            rows, digests, links = np.hstack([p[0] for p in parts]), [x for p in parts for x in p[1]], np.concatenate([p[2] for p in parts])
+            pairs, which, n = np.unique(links, return_inverse=True, return_counts=True)
+            whole = np.zeros(1, np.int64)
+            columns = [pa.array([doc_ids], pa.list_(pa.int64()))]
+            columns += [lists(whole, r) for r in rows]
+            columns += [pa.array([digests], pa.list_(pa.string())), lists(whole, which.astype(np.int32))]
+            columns += [lists(whole, (pairs >> 32).astype(np.int32)), lists(whole, (pairs & 0xFFFFFFFF).astype(np.int32)), lists(whole, n)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_ids", "n_a", "n_b", "n_groups", "digests", "links", "a", "b", "n"])
 
     return run
 
@@ -240,7 +265,8 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _blocks(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     found = spread(rows).mapInArrow(_encode(*paths), _BLOCK)
-    return stored(found.withColumn("block", F.monotonically_increasing_id()), "alignment")
+    with arrow_bytes(docs.sparkSession, BATCH):
+        return stored(found.withColumn("block", F.monotonically_increasing_id()), "alignment", **{"parquet.block.row.count.limit": str(ROW_GROUP)})
 
 
 def _pairs(packed: DataFrame) -> DataFrame:
@@ -263,7 +289,8 @@ def alignments(docs: DataFrame, paths: tuple[str, str] | None = None) -> DataFra
     asked = packed.select("block", F.posexplode(F.arrays_zip("a", "b")).alias("place", "p")).select("block", "place", "p.a", "p.b")
     told = asked.join(small_side(table, totals.count(), PAIRS), ["a", "b"])
     told = told.groupBy("block").agg(F.collect_list(F.struct("place", "total", "best")).alias("told"))  # the pairs of one block
-    return packed.join(told, "block", "left").mapInArrow(_finish, _DOCS)
+    with arrow_bytes(docs.sparkSession, BATCH):
+        return stored(packed.join(told, "block", "left").mapInArrow(_finish, _DOCS), "aligned")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -30,15 +30,16 @@ def cut(df: DataFrame) -> DataFrame:
 _RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Like ``cut``, as a compressed Parquet table in the shared folder. The
-    shuffle files of the write are released at its end: nothing reads them again."""
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Like ``cut``, as a compressed Parquet table in the shared folder, with
+    further options of the writer. The shuffle files of the write are released at
+    its end: nothing reads them again."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(_RELEASE, "false")
     spark.conf.set(_RELEASE, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(compression="zstd", **options).parquet(path)
     finally:
         spark.conf.set(_RELEASE, before)
     return spark.read.schema(df.schema).parquet(path)
@@ -56,6 +57,18 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+@contextmanager
+def arrow_bytes(spark: SparkSession, most: int) -> Iterator[None]:
+    """Queries run inside hand their Python functions about ``most`` bytes at a time, one row at least."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 _shipped: set[str] = set()
 
 

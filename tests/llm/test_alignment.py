@@ -1,7 +1,11 @@
 import hashlib
 import random
 from collections import Counter
+from uuid import uuid4
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import sentencepiece
 from tokenizers import Tokenizer
 from tokenizers.decoders import ByteLevel
@@ -122,3 +126,64 @@ def test_texts_of_a_chunk_are_aligned_in_a_row(monkeypatch):
     assert rows.T.tolist() == [r[0][:, 0].tolist() for r in alone] and digests == [r[1][0] for r in alone]
     assert links.tolist() == [x for r in alone for x in r[2].tolist()]
     assert [bool(d) for d in digests].count(False) >= 2
+
+
+def test_blocks_are_full_whatever_batches_they_come_in(monkeypatch):
+    """Rows that come one at a time give the blocks of rows that come at once, and slices of a block what it gets whole."""
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(("one", "two  ", "漢字", "é,", "ab" * 9)) for _ in range(rng.randint(0, 30))) for _ in range(60)]
+    texts[7], texts[40:44], texts[50] = "long " * 200, ["", "", "", ""], "a▁b"
+    ids = [None if k % 9 == 0 else k // 2 for k in range(60)]
+    table = pa.record_batch({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts)})
+    monkeypatch.setattr(A, "CHUNK", 500)
+    monkeypatch.setattr(A, "TEXTS", 25)
+    run = A._encode(*PATHS)
+    at_once = [b.to_pylist()[0] for b in run(iter([table]))]
+    assert [b.to_pylist()[0] for b in run(table.slice(k, 1) for k in range(60))] == at_once
+    monkeypatch.setattr(A, "SLICE", 60)
+    assert [b.to_pylist()[0] for b in run(iter([table.slice(0, 31), table.slice(31)]))] == at_once
+    assert [i for b in at_once for i in b["doc_ids"]] == ids and 5 < len(at_once) < 30
+    low, own = 0, A.tokenizers(*PATHS)
+    for b in at_once:
+        part = texts[low : low + len(b["doc_ids"])]
+        rows, digests, links = A._aligned(own, part)
+        assert len(part) == 1 or sum(map(len, part)) <= 500 and len(part) <= 25
+        assert [b["n_a"], b["n_b"], b["n_groups"]] == rows.tolist() and b["digests"] == digests
+        pairs = np.array(b["a"], np.int64) << 32 | np.array(b["b"], np.int64)
+        assert pairs[np.array(b["links"], np.int64)].tolist() == links.tolist()
+        low += len(part)
+
+
+def test_batches_and_row_groups_are_bounded(spark, monkeypatch, tmp_path):
+    """Neither function is handed more than some bytes or one block at a time, and a row group holds few blocks."""
+    encode, finish, folder = A._encode, A._finish, str(tmp_path)
+
+    def told(name, plain):
+        def run(batches):
+            def each():
+                for b in batches:
+                    with open(f"{folder}/{name}-{uuid4().hex}", "w") as f:
+                        f.write(f"{b.num_rows} {b.nbytes}")
+                    yield b
+
+            yield from plain(each())
+
+        return run
+
+    monkeypatch.setattr(A, "_encode", lambda *paths: told("encode", encode(*paths)))
+    monkeypatch.setattr(A, "_finish", told("finish", finish))
+    monkeypatch.setattr(A, "BATCH", 1 << 16)
+    monkeypatch.setattr(A, "ROW_GROUP", 2)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    stored, kept = A.stored, {}
+    monkeypatch.setattr(A, "stored", lambda df, name, **options: kept.setdefault(name, stored(df, name, **options)))
+    docs = spark.range(120_000).selectExpr("id doc_id", "if(id % 20 = 0, repeat('one two ', 20), '') text")
+    rows = A.alignments(docs).groupBy("n_a", "n_links", "n_best").count().collect()
+    assert sorted((r.n_a > 0, r["count"]) for r in rows) == [(False, 114_000), (True, 6_000)]
+    sizes = {name: [tuple(map(int, f.read_text().split())) for f in tmp_path.glob(f"{name}-*")] for name in ("encode", "finish")}
+    assert max(n for _, n in sizes["encode"]) <= 2 * A.BATCH and sum(n for n, _ in sizes["encode"]) == 120_000
+    blocks = kept["alignment"].count()
+    assert [n for n, _ in sizes["finish"]] == [1] * blocks and blocks >= 12
+    groups = [m.row_group(k).num_rows for m in (pq.read_metadata(f.removeprefix("file://")) for f in kept["alignment"].inputFiles()) for k in range(m.num_row_groups)]
+    assert sum(groups) == blocks and max(groups) <= A.ROW_GROUP
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
